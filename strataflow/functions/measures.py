@@ -21,7 +21,7 @@ def to_measure(
         raise ValueError(f"kind must be one of {KINDS}, got {kind!r}")
     text = raw.cast("string")
     if decimal_comma:
-        text = F.regexp_replace(text, ",", ".")
+        text = F.replace(text, F.lit(","), F.lit("."))
     number = text.try_cast("float" if kind == "float" else "double")
     if kind == "int":
         return number.try_cast("int")

@@ -12,6 +12,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strataflow.functions.clock import AsOf
 from strataflow.functions.labels import MISSING_WORDS, fill_label
@@ -38,7 +39,8 @@ MEASURES = {"avg_weight": "weight", "avg_height": "height"}
 class Recipe:
     """Choices in which medallion jobs differ.
 
-    ``types``: CSV scan, ``strings`` or ``infer``. ``clean``: options of
+    ``types``: CSV scan, ``strings``, ``infer`` or a schema per table, which spares
+    large input the extra pass of ``infer``. ``clean``: options of
     ``clean_text``, or None to trim and lower-case instead. ``only``: columns to
     clean per table, all string columns by default. ``distinct``: drop copies in
     silver. ``country_from``: the side whose country counts. ``measure``: options
@@ -47,7 +49,7 @@ class Recipe:
     categories, with ``sentinels`` as further spellings of missing.
     """
 
-    types: str = "strings"
+    types: str | Mapping[str, StructType] = "strings"
     clean: Mapping[str, Any] | None = field(default_factory=dict)
     only: Mapping[str, tuple[str, ...]] | None = None
     distinct: bool = True
@@ -109,10 +111,16 @@ RECIPES: dict[str, Recipe] = {
 
 
 def ingest(
-    spark: SparkSession, landing: str, bronze: str, recipe: Recipe, separator: str = ","
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    table: str,
+    recipe: Recipe,
+    separator: str = ",",
 ) -> None:
     """CSV file to bronze parquet."""
-    write_layer(scan_csv(spark, landing, recipe.types, separator), bronze)
+    types = recipe.types if isinstance(recipe.types, str) else recipe.types[table]
+    write_layer(scan_csv(spark, landing, types, separator), bronze)
 
 
 def refined(df: DataFrame, table: str, recipe: Recipe) -> DataFrame:
@@ -179,7 +187,7 @@ def run_table(spark: SparkSession, landing: str, lake: str, table: str, recipe:
     """One table from landing to silver."""
     require_table(table)
     bronze, silver = f"{lake}/bronze/{table}", f"{lake}/silver/{table}"
-    ingest(spark, f"{landing}/{table}", bronze, recipe)
+    ingest(spark, f"{landing}/{table}", bronze, table, recipe)
     refine(spark, bronze, silver, table, recipe)
 
 

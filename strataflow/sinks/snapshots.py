@@ -60,14 +60,17 @@ def write_snapshot(
     """Write a new version and drop all but the newest ``keep`` complete ones.
 
     A given ``number`` (a micro-batch id) is overwritten, so a retried batch leaves
-    one copy. Otherwise the next free number is taken, and of two writers racing
-    for it one fails.
+    one copy; one below the current version is refused, as nobody would read it (a
+    stream with a new checkpoint needs a new root). Otherwise the next free number
+    is taken, and of two writers racing for it one fails.
     """
     spark = df.sparkSession
     mode = "overwrite"
     if number is None:
         number = max(_numbers(spark, root, finished=False), default=-1) + 1
         mode = "errorifexists"
+    elif number < (current_snapshot(spark, root) or 0):
+        raise ValueError(f"snapshot {number} is older than the current one under {root}")
     df.write.mode(mode).format(form).save(snapshot_path(root, number))
     drop_old_snapshots(spark, root, keep)
     return number
