@@ -1,0 +1,133 @@
+"""One key with a third of all rows."""
+
+from contextlib import contextmanager
+
+import pytest
+from pyspark.sql import functions as F
+
+from strataflow.operators.averages import grouped_averages
+from strataflow.operators.enrich import enrich
+from strataflow.operators.upsert import upsert_counter
+from strataflow.streaming.enrich import enrich_stream
+from tests.plans import initial, physical
+
+ROWS, KEYS = 60_000, 500
+
+
+@contextmanager
+def settings(spark, **changed):
+    old = {k: spark.conf.get(k, None) for k in changed}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.fixture(scope="module")
+def fact(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("skew") / "fact")
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % KEYS)
+    spark.range(ROWS, numPartitions=8).select(
+        key.cast("long").alias("athlete_id"),
+        (F.col("id") % 4).cast("string").alias("sport"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def dim(spark):
+    return spark.range(KEYS).select(
+        F.col("id").alias("athlete_id"),
+        (F.col("id") % 2).cast("string").alias("sex"),
+        F.when(F.col("id") % 9 > 0, F.col("id") % 50 + 0.5).alias("weight"),
+    )
+
+
+def test_join_splits_the_hot_key(spark, fact, dim):
+    narrow = {
+        **NO_BROADCAST,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    }
+    with settings(spark, **narrow):
+        joined = enrich(fact, dim, "athlete_id")
+        assert len(joined.collect()) == ROWS
+        assert "skew=true" in physical(joined)
+
+
+@pytest.mark.parametrize("measured_only", [False, True])
+@pytest.mark.parametrize("exact_scale", [None, 1])
+def test_folding_changes_nothing(spark, fact, dim, measured_only, exact_scale):
+    options = dict(
+        key="athlete_id",
+        groups=["sport", "sex"],
+        measures={"avg_weight": "weight"},
+        measured_only=measured_only,
+        exact_scale=exact_scale,
+        digits=4,
+        stamp_column=None,
+    )
+    with settings(spark, **NO_BROADCAST):
+        plain = grouped_averages(fact, dim, **options)
+        folded = grouped_averages(fact, dim, fold_fact=True, **options)
+        assert sorted(plain.collect()) == sorted(folded.collect())
+
+
+def test_folding_sends_few_rows_of_the_hot_key(spark, fact, dim):
+    with settings(spark, **NO_BROADCAST):
+        df = grouped_averages(
+            fact, dim, "athlete_id", ["sport", "sex"], {"w": "weight"}, fold_fact=True
+        )
+        plan = initial(df)
+    # Counted inside each task, then shuffled by key and group together.
+    assert "hashpartitioning(athlete_id#" in plan and "partial_count(1)" in plan
+
+
+def test_fold_of_repeated_dimension_rows(spark):
+    fact = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a")], "k int, g string")
+    dim = spark.createDataFrame([(1, 2.0), (1, 4.0), (1, None)], "k int, m double")
+    for fold in (False, True):
+        df = grouped_averages(fact, dim, "k", ["g"], {"mean": "m"}, fold_fact=fold,
+                              stamp_column=None)
+        assert df.collect() == [("a", 3.0)]
+
+
+def test_salted_enrichment_is_complete_and_even(spark, fact, dim):
+    plain = fact.join(dim, "athlete_id").select("payload", "sex", "weight")
+    salted = enrich_stream(fact, dim, "athlete_id", salts=8).select("payload", "sex", "weight")
+    assert sorted(plain.collect(), key=str) == sorted(salted.collect(), key=str)
+
+
+def test_salts_spread_equal_rows(spark, tmp_path):
+    path = str(tmp_path / "same")
+    spark.range(8_000).select(F.lit(1).alias("k"), F.lit("x").alias("v")).write.parquet(path)
+    same, dim = spark.read.parquet(path), spark.createDataFrame([(1, "d"), (2, "e")], "k int, d string")
+    with settings(spark, **NO_BROADCAST, **{"spark.sql.adaptive.enabled": "false"}):
+        sizes = {}
+        for salts in (1, 64):
+            joined = enrich_stream(same, dim, "k", salts=salts)
+            parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            sizes[salts] = [r["count"] for r in parts]
+    assert sizes[1] == [8_000]
+    assert sum(sizes[64]) == 8_000 and max(sizes[64]) < 4_000
+
+
+def test_upsert_adds_up_hot_hits_before_the_shuffle(spark, fact):
+    target = spark.createDataFrame(
+        [], "athlete_id long, count long, created_at timestamp, updated_at timestamp"
+    )
+    df = upsert_counter(target, fact.select("athlete_id"), ["athlete_id"])
+    assert initial(df).count("Exchange hashpartitioning") == 1
+    assert "partial_sum(_hits" in initial(df)
+    assert df.agg(F.sum("count")).first()[0] == ROWS
