@@ -19,31 +19,30 @@ def upsert_counter(
     count: str = "count",
     created: str = "created_at",
     updated: str = "updated_at",
+    identity: str = "id",
 ) -> DataFrame:
     """The counter table after adding one per row of ``hits``.
 
     A known key is raised and touched, a new one inserted, the others left as they
     were. Both inputs go through a single grouping: it sums a hot key's hits inside
     each task first, and the two tables need no join. A NULL key or a key that
-    ``target`` holds twice raises, since neither identifies a counter.
+    ``target`` holds twice raises, since neither identifies a counter. Where the
+    table has an ``identity`` column, a new counter's is NULL.
     """
+    kept = [created, updated, *[c for c in target.columns if c == identity]]
     now = stamp(as_of, target.schema[updated].dataType.simpleString())
     stored = target.select(
-        *keys, F.col(count).cast("bigint").alias("_stored"), created, updated,
+        *keys, *kept, F.col(count).cast("bigint").alias("_stored"),
         F.lit(1).alias("_rows"), F.lit(0).cast("bigint").alias("_hits"),
     )
     added = hits.select(
-        *keys, F.lit(0).cast("bigint").alias("_stored"),
-        F.lit(None).cast(target.schema[created].dataType).alias(created),
-        F.lit(None).cast(target.schema[updated].dataType).alias(updated),
+        *keys, *[F.lit(None).cast(target.schema[c].dataType).alias(c) for c in kept],
+        F.lit(0).cast("bigint").alias("_stored"),
         F.lit(0).alias("_rows"), F.lit(1).cast("bigint").alias("_hits"),
     )
     merged = stored.unionByName(added).groupBy(*keys).agg(
-        F.sum("_stored").alias("_stored"),
-        F.max(created).alias(created),
-        F.max(updated).alias(updated),
-        F.sum("_rows").alias("_rows"),
-        F.sum("_hits").alias("_hits"),
+        *[F.max(c).alias(c) for c in kept],
+        *[F.sum(c).alias(c) for c in ("_stored", "_rows", "_hits")],
     )
     bad_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     total = (
@@ -55,6 +54,7 @@ def upsert_counter(
         .otherwise(F.col("_stored") + F.col("_hits"))
     )
     return merged.select(
+        *kept[2:],
         *keys,
         total.alias(count),
         F.when(F.col("_rows") == 0, now).otherwise(F.col(created)).alias(created),

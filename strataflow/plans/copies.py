@@ -5,11 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strataflow.functions.clock import AsOf
+from strataflow.operators.numbering import number_rows
 from strataflow.operators.reconcile import count_mismatch
 from strataflow.operators.upsert import upsert_counter
+from strataflow.session import scratch_path
+from strataflow.sinks.layers import write_layer
 from strataflow.sinks.snapshots import current_snapshot, read_snapshot, write_snapshot
 
 
@@ -30,6 +34,22 @@ def refresh_copy(original: DataFrame, root: str) -> bool:
 
 
 def apply_hits(hits: DataFrame, root: str, keys: Sequence[str], as_of: AsOf = None) -> None:
-    """Raise the counters stored at ``root`` by the hits, as a new version."""
+    """Raise the counters stored at ``root`` by the hits, as a new version.
+
+    A table with an ``id`` column numbers its new counters in the order of the keys.
+    """
     stored = read_snapshot(hits.sparkSession, root)
-    write_snapshot(upsert_counter(stored, hits, keys, as_of), root)
+    merged = upsert_counter(stored, hits, keys, as_of)
+    write_snapshot(_numbered(merged, keys) if "id" in stored.columns else merged, root)
+
+
+def _numbered(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    spark = merged.sparkSession
+    # Written once, so that the merge does not run again for each use of it.
+    staged = scratch_path(spark, "merged")
+    write_layer(merged, staged)
+    merged = spark.read.parquet(staged)
+    last = merged.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()["last"]
+    new = merged.filter(F.col("id").isNull()).drop("id")
+    numbered = number_rows(new, keys, scratch_path(spark, "numbering"), last + 1)
+    return merged.filter(F.col("id").isNotNull()).unionByName(numbered)

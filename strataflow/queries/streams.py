@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from datetime import datetime
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.functions.jsonrows import decode_rows, encode_rows
-from strataflow.functions.labels import fill_label
+from strataflow.functions.jsonrows import decode_rows
 from strataflow.functions.measures import to_measure
 from strataflow.operators.cleaning import map_columns
+from strataflow.plans.stream_averages import enriched_averages, start_averages
 from strataflow.queries.inputs import DIM_COLUMNS, athletes
 from strataflow.queries.registry import query, table
 from strataflow.session import scratch_path
 from strataflow.sinks.snapshots import read_snapshot
-from strataflow.streaming.enrich import enrich_stream, running_averages
-from strataflow.streaming.run import start_append, start_batches
-from strataflow.streaming.sinks import fan_out, message_file_sink, table_sink
+from strataflow.streaming.enrich import enrich_stream
+from strataflow.streaming.run import start_append
+from strataflow.streaming.sinks import message_file_sink, table_sink
 from strataflow.streaming.sources import stream_message_files
 
 AS_OF = datetime(2024, 2, 1)
@@ -65,10 +66,14 @@ def publish(events: DataFrame, path: str) -> None:
     messages.write.mode("append").partitionBy("week").parquet(path)
 
 
-def _rows(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded stream; the rate cap follows the size of the cluster."""
+def _messages(spark: SparkSession, path: str) -> DataFrame:
+    """The message files as a stream; the rate cap follows the size of the cluster."""
     cap = max(1, spark.sparkContext.defaultParallelism // 4)
-    return decode_rows(stream_message_files(spark, path, cap), ROW, required="athlete_id")
+    return stream_message_files(spark, path, cap)
+
+
+def _rows(spark: SparkSession, path: str) -> DataFrame:
+    return decode_rows(_messages(spark, path), ROW, required="athlete_id")
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,11 +83,20 @@ def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _averages(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
-    rows = _rows(spark, path).withColumn("medal", fill_label(F.col("medal")))
-    enriched = enrich_stream(rows, _people(spark, sf_dir), "athlete_id", salts=SALTS)
-    return running_averages(
-        enriched, GROUPS, AVERAGES, exact_scale=2, as_of=AS_OF, ts_type="timestamp_ntz"
+def _averages(spark: SparkSession, sf_dir: str, path: str, **options: Any) -> DataFrame:
+    return enriched_averages(
+        _messages(spark, path),
+        ROW,
+        _people(spark, sf_dir),
+        "athlete_id",
+        GROUPS,
+        AVERAGES,
+        category="medal",
+        salts=SALTS,
+        exact_scale=2,
+        as_of=AS_OF,
+        ts_type="timestamp_ntz",
+        **options,
     )
 
 
@@ -112,22 +126,17 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_avg_complete", f"SELECT *, TIMESTAMP '{AS_OF}' AS \"timestamp\" FROM ({_STATS_SQL})")
 def stream_avg_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats, out = _averages(spark, sf_dir, _published(spark, sf_dir)), scratch_path(spark, "stats")
-    start_batches(
-        stats, fan_out(table_sink(out)), scratch_path(spark, "checkpoint")
-    ).awaitTermination()
+    start_averages(stats, [table_sink(out)], scratch_path(spark, "checkpoint")).awaitTermination()
     return read_snapshot(spark, out)
 
 
 @query("stream_fanout", f"SELECT *, 2 AS sinks FROM ({_STATS_SQL})")
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sinks of the fan-out, matched row by row."""
-    stats = _averages(spark, sf_dir, _published(spark, sf_dir)).drop("timestamp")
+    stats = _averages(spark, sf_dir, _published(spark, sf_dir), stamp_column=None)
     rows, messages = scratch_path(spark, "stats"), scratch_path(spark, "stats-topic")
-    start_batches(
-        stats,
-        fan_out(table_sink(rows), message_file_sink(messages)),
-        scratch_path(spark, "checkpoint"),
-    ).awaitTermination()
+    sinks = [table_sink(rows), message_file_sink(messages)]
+    start_averages(stats, sinks, scratch_path(spark, "checkpoint")).awaitTermination()
     stored = read_snapshot(spark, rows)
     sent = decode_rows(read_snapshot(spark, messages, "text"), stored.schema)
     return (
@@ -147,5 +156,5 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
         if part is not None:
             publish(events.filter(part), topic)
         stats = _averages(spark, sf_dir, topic)
-        start_batches(stats, fan_out(table_sink(out)), checkpoint).awaitTermination()
+        start_averages(stats, [table_sink(out)], checkpoint).awaitTermination()
     return read_snapshot(spark, out)

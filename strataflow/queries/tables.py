@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.operators.counts import category_count
 from strataflow.plans.copies import apply_hits, create_if_absent, refresh_copy
 from strataflow.queries.registry import query, table
 from strataflow.session import scratch_path
@@ -16,7 +17,7 @@ FIRST, SECOND = datetime(2024, 2, 1), datetime(2024, 2, 2)
 SPLIT = "1997-01-01"
 KEYS = ("champion_name", "sport", "medal_type")
 COUNTERS = (
-    "champion_name string, sport string, medal_type string, count bigint,"
+    "id bigint, champion_name string, sport string, medal_type string, count bigint,"
     " created_at timestamp_ntz, updated_at timestamp_ntz"
 )
 
@@ -33,15 +34,21 @@ def games_copy_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_snapshot(spark, copy)
 
 
-@query("counter_upsert", f"""
-    SELECT cast(o_custkey AS varchar) AS champion_name, o_orderpriority AS sport,
-           o_orderstatus AS medal_type, count(*) AS count,
-           CASE WHEN bool_or(o_orderdate < DATE '{SPLIT}') THEN TIMESTAMP '{FIRST}'
-                ELSE TIMESTAMP '{SECOND}' END AS created_at,
-           CASE WHEN bool_or(o_orderdate >= DATE '{SPLIT}') THEN TIMESTAMP '{SECOND}'
-                ELSE TIMESTAMP '{FIRST}' END AS updated_at
-    FROM orders GROUP BY o_custkey, o_orderpriority, o_orderstatus""")
-def counter_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+_COUNTERS_SQL = f"""
+    SELECT row_number() OVER (PARTITION BY early ORDER BY champion_name, sport, medal_type)
+               + CASE WHEN early THEN 0 ELSE sum(CASE WHEN early THEN 1 ELSE 0 END) OVER () END
+               AS id,
+           champion_name, sport, medal_type, count,
+           CASE WHEN early THEN TIMESTAMP '{FIRST}' ELSE TIMESTAMP '{SECOND}' END AS created_at,
+           CASE WHEN late THEN TIMESTAMP '{SECOND}' ELSE TIMESTAMP '{FIRST}' END AS updated_at
+    FROM (SELECT cast(o_custkey AS varchar) AS champion_name, o_orderpriority AS sport,
+                 o_orderstatus AS medal_type, count(*) AS count,
+                 bool_or(o_orderdate < DATE '{SPLIT}') AS early,
+                 bool_or(o_orderdate >= DATE '{SPLIT}') AS late
+          FROM orders GROUP BY o_custkey, o_orderpriority, o_orderstatus)"""
+
+
+def _counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All orders as counter hits, in two rounds split by date."""
     orders, root = table(spark, sf_dir, "orders"), scratch_path(spark, "counters")
     create_if_absent(spark, root, COUNTERS)
@@ -54,3 +61,17 @@ def counter_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         apply_hits(hits, root, KEYS, as_of)
     return read_snapshot(spark, root)
+
+
+@query("counter_upsert", f"SELECT * REPLACE (cast(id AS bigint) AS id) FROM ({_COUNTERS_SQL})")
+def counter_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counters(spark, sf_dir)
+
+
+@query(
+    "counter_rows_of_category",
+    f"SELECT 'O' AS medal_type, count(*) AS count FROM ({_COUNTERS_SQL}) WHERE medal_type = 'O'",
+)
+def counter_rows_of_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many counters a category has."""
+    return category_count(_counters(spark, sf_dir), "medal_type", "O")

@@ -12,7 +12,7 @@ from strataflow.operators.upsert import upsert_counter
 from strataflow.plans.copies import apply_hits, create_if_absent, refresh_copy
 from strataflow.plans.count_log import append_numbered, last_id, log_and_check, log_counts
 from strataflow.sinks.snapshots import current_snapshot, read_snapshot, write_snapshot
-from strataflow.sources.tables import CATEGORY_LOG, GAMES
+from strataflow.sources.tables import CATEGORY_LOG, COUNTER, GAMES
 
 NOW = datetime(2024, 1, 1, 12)
 NTZ = "timestamp_ntz"
@@ -146,6 +146,23 @@ def test_apply_hits_writes_a_new_version(spark, tmp_path):
     assert read_snapshot(spark, root).collect() == [("a", 4, OLD, NOW)]
 
 
+def test_apply_hits_numbers_new_counters(spark, tmp_path):
+    root = str(tmp_path / "c")
+    create_if_absent(spark, root, COUNTER)
+    keys = ["champion_name", "sport", "medal_type"]
+    for names in (["b", "a", "a"], ["c", "a"], []):
+        hits = spark.createDataFrame(
+            [(n, "s", "Gold") for n in names],
+            "champion_name string, sport string, medal_type string",
+        )
+        apply_hits(hits, root, keys)
+    rows = read_snapshot(spark, root)
+    assert rows.columns == COUNTER.names
+    assert sorted((r.id, r.champion_name, r["count"]) for r in rows.collect()) == [
+        (1, "a", 3), (2, "b", 1), (3, "c", 1)
+    ]
+
+
 def test_count_mismatch(spark):
     assert count_mismatch(spark.range(3), spark.range(3)).collect() == [(3, 3, False)]
     assert count_mismatch(spark.range(3), spark.range(0)).collect() == [(0, 3, True)]

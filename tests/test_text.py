@@ -38,6 +38,12 @@ def test_null_policies(spark, policy, null, empty, dashes):
     assert one(spark, "---", null_policy=policy) == dashes
 
 
+def test_long_runs_need_no_stack(spark):
+    for unit in ("a", "-", "a-"):
+        text = unit * 1_000_000
+        assert one(spark, text) == text.replace("-", "")
+
+
 def test_trim_follows_cleaning(spark):
     assert one(spark, " -a b- ", keep_space=True, trim=True) == "a b"
     assert one(spark, " -a b- ", keep_space=True) == " a b "
