@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_AT, _PART = "_at", "_part"
+_AT, _PART, _TIE = "_at", "_part", "_tie"
 
 # monotonically_increasing_id keeps the row's place within its
 # partition in the low 33 bits and the partition's number above them.
@@ -20,21 +20,34 @@ def number_rows(
     staging: str,
     start: int = 1,
     name: str = "id",
+    unique: bool = False,
 ) -> DataFrame:
     """Ids ``start, start + 1, ...`` in the given order, over any number of rows.
 
-    The rows are range-partitioned by the order and written to ``staging`` with
+    The rows are range-partitioned by the order and written under ``staging`` with
     their place inside the partition. Reading that fixed copy, an id is the place
     plus the size of the partitions before it. Only those sizes, one row per
     partition, pass through one task and are broadcast.
+
+    Ranges cannot part equal values, so rows that tie would share a task. Unless
+    ``unique`` says that the order has no ties, each row first gets a tie-breaker,
+    which is written too: it has to stay the same if a task runs again.
     """
-    ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    ordered.withColumn(_AT, F.monotonically_increasing_id()).write.mode("overwrite").parquet(
-        staging
-    )
+    ordering, placed_at = list(order_by), f"{staging}/placed"
+    columns = df.columns
+    if not unique:
+        tied_at = f"{staging}/tied"
+        tied = df.withColumn(_TIE, F.monotonically_increasing_id())
+        tied.write.mode("overwrite").parquet(tied_at)
+        df = df.sparkSession.read.parquet(tied_at)
+        ordering.append(_TIE)
+    ordered = df.repartitionByRange(*ordering).sortWithinPartitions(*ordering)
+    ordered.select(*columns, F.monotonically_increasing_id().alias(_AT)).write.mode(
+        "overwrite"
+    ).parquet(placed_at)
     part = F.shiftright(F.col(_AT), _PLACE_BITS)
     place = F.col(_AT).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    placed = df.sparkSession.read.parquet(staging).withColumn(_PART, part)
+    placed = df.sparkSession.read.parquet(placed_at).withColumn(_PART, part)
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy(_PART)
@@ -43,5 +56,5 @@ def number_rows(
     )
     numbered = placed.join(F.broadcast(offsets), _PART)
     return numbered.select(
-        (F.lit(start).cast("bigint") + F.col("_before") + place).alias(name), *df.columns
+        (F.lit(start).cast("bigint") + F.col("_before") + place).alias(name), *columns
     )

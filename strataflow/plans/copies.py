@@ -51,5 +51,7 @@ def _numbered(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
     merged = spark.read.parquet(staged)
     last = merged.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()["last"]
     new = merged.filter(F.col("id").isNull()).drop("id")
-    numbered = number_rows(new, keys, scratch_path(spark, "numbering"), last + 1)
+    numbered = number_rows(
+        new, keys, scratch_path(spark, "numbering"), last + 1, unique=True
+    )
     return merged.filter(F.col("id").isNotNull()).unionByName(numbered)

@@ -59,8 +59,11 @@ def last_id(spark: SparkSession, log: str) -> int:
 
 
 def append_numbered(
-    rows: DataFrame, log: str, order_by: Sequence[str], staging: str
+    rows: DataFrame, log: str, order_by: Sequence[str], staging: str, unique: bool = False
 ) -> None:
-    """Append rows with ids that go on after the log's last one; one writer at a time."""
+    """Append rows with ids that go on after the log's last one; one writer at a time.
+
+    ``unique`` says that no two rows share their place in the order.
+    """
     start = last_id(rows.sparkSession, log) + 1
-    append_rows(number_rows(rows, order_by, staging, start), log)
+    append_rows(number_rows(rows, order_by, staging, start, unique=unique), log)

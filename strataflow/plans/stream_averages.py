@@ -36,7 +36,7 @@ def enriched_averages(
     sentinels: Sequence[str] = (),
     shared_from: str = "fact",
     measured_only: bool = False,
-    salts: int = 1,
+    salts: int | None = None,
     **averages: Any,
 ) -> DataFrame:
     """Averages over a stream of messages, whatever source they come from.

@@ -100,7 +100,7 @@ def log_with_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, category, ts in (("orders", "o_orderstatus", "o_orderdate"),
                                ("events", "event_type", "ts")):
         rows = _day_counts(table(spark, sf_dir, name), category, ts)
-        append_numbered(rows, log, order, scratch_path(spark, "numbering"))
+        append_numbered(rows, log, order, scratch_path(spark, "numbering"), unique=True)
     return spark.read.parquet(log)
 
 
@@ -114,7 +114,8 @@ def log_rows_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select(
         "event_id", F.col("event_type").alias("medal_type"), F.col("ts").alias("created_at")
     )
-    append_numbered(rows, log, ("created_at", "event_id"), scratch_path(spark, "numbering"))
+    order = ("created_at", "event_id")
+    append_numbered(rows, log, order, scratch_path(spark, "numbering"), unique=True)
     return spark.read.parquet(log)
 
 

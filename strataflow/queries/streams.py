@@ -23,7 +23,6 @@ from strataflow.streaming.sources import stream_message_files
 
 AS_OF = datetime(2024, 2, 1)
 HALF = "2024-01-16"
-SALTS = 8
 ROW = "athlete_id bigint, sport string, medal string, result_id bigint"
 GROUPS = ("sport", "medal", "sex", "country_noc")
 AVERAGES = {"avg_weight": "weight", "avg_balance": "balance"}
@@ -92,7 +91,6 @@ def _averages(spark: SparkSession, sf_dir: str, path: str, **options: Any) -> Da
         GROUPS,
         AVERAGES,
         category="medal",
-        salts=SALTS,
         exact_scale=2,
         as_of=AS_OF,
         ts_type="timestamp_ntz",
@@ -118,7 +116,7 @@ def stream_source_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ({_EVENT_SQL}) JOIN ({_DIM_SQL}) USING (athlete_id)""")
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, out = _rows(spark, _published(spark, sf_dir)), scratch_path(spark, "enriched")
-    enriched = enrich_stream(rows, _people(spark, sf_dir), "athlete_id", salts=SALTS)
+    enriched = enrich_stream(rows, _people(spark, sf_dir), "athlete_id")
     start_append(enriched, out, scratch_path(spark, "checkpoint")).awaitTermination()
     return spark.read.parquet(out)
 

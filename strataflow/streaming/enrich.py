@@ -9,22 +9,25 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.clock import AsOf, stamp
 from strataflow.operators.averages import group_averages
-from strataflow.operators.enrich import drop_shared
+from strataflow.operators.enrich import drop_shared, fits_broadcast
 
 _SALT = "_salt"
+DEFAULT_SALTS = 16
 
 
 def enrich_stream(
-    stream: DataFrame, dim: DataFrame, key: str, shared_from: str = "fact", salts: int = 1
+    stream: DataFrame, dim: DataFrame, key: str, shared_from: str = "fact", salts: int | None = None
 ) -> DataFrame:
     """Inner join of a stream with a static table; keeps no state.
 
-    A query with state runs without adaptive execution, so nothing splits a skewed
-    key at run time. ``salts`` does it in the plan: the stream's rows are dealt out
-    over that many copies of the dimension, which divides the hottest key by it.
-    One salt suits a dimension that Spark broadcasts.
+    A dimension within the broadcast limit is joined without a shuffle. Beyond it,
+    a skewed key has to be split in the plan, since a query with state runs without
+    adaptive execution: the stream's rows are dealt out over ``salts`` copies of the
+    dimension, which divides the hottest key by that number.
     """
     stream, dim = drop_shared(stream, dim, key, shared_from)
+    if salts is None:
+        salts = 1 if fits_broadcast(dim) else DEFAULT_SALTS
     if salts == 1:
         return stream.join(dim, key, "inner")
     # Not a hash of the content: equal messages must spread as well. The seed makes

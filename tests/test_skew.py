@@ -3,10 +3,12 @@
 from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strataflow.operators.averages import grouped_averages
 from strataflow.operators.enrich import enrich
+from strataflow.operators.numbering import number_rows
 from strataflow.operators.upsert import upsert_counter
 from strataflow.streaming.enrich import enrich_stream
 from tests.plans import initial, physical
@@ -109,6 +111,17 @@ def test_salted_enrichment_is_complete_and_even(spark, fact, dim):
     assert sorted(plain.collect(), key=str) == sorted(salted.collect(), key=str)
 
 
+def test_salts_only_beyond_the_broadcast_limit(spark, tmp_path):
+    path = str(tmp_path / "dim")
+    spark.range(100).select(F.col("id").alias("k"), F.lit("d").alias("d")).write.parquet(path)
+    stream, dim = spark.range(10).select(F.col("id").alias("k")), spark.read.parquet(path)
+    assert "BroadcastHashJoin" in initial(enrich_stream(stream, dim, "k"))
+    assert "_salt#" not in initial(enrich_stream(stream, dim, "k"))
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "100"}):
+        plan = initial(enrich_stream(stream, dim, "k"))
+    assert "SortMergeJoin" in plan and "_salt#" in plan
+
+
 def test_salts_spread_equal_rows(spark, tmp_path):
     path = str(tmp_path / "same")
     spark.range(8_000).select(F.lit(1).alias("k"), F.lit("x").alias("v")).write.parquet(path)
@@ -123,6 +136,24 @@ def test_salts_spread_equal_rows(spark, tmp_path):
     assert sum(sizes[64]) == 8_000 and max(sizes[64]) < 4_000
 
 
+@pytest.mark.parametrize("unique", [False, True])
+def test_numbering_splits_ties(spark, fact, tmp_path, unique):
+    order = ["athlete_id", "payload"] if unique else ["athlete_id"]
+    with settings(spark, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        rows = number_rows(fact, order, str(tmp_path), unique=unique)
+    assert rows.columns == ["id", *fact.columns]
+    ids = rows.agg(F.min("id"), F.max("id"), F.countDistinct("id")).first()
+    assert tuple(ids) == (1, ROWS, ROWS)
+    steps = rows.select(
+        (F.lag("athlete_id").over(Window.orderBy("id")) > F.col("athlete_id")).alias("back")
+    )
+    assert steps.filter("back").count() == 0
+    placed = spark.read.parquet(str(tmp_path / "placed"))
+    sizes = placed.groupBy(F.shiftright("_at", 33).alias("p")).count().collect()
+    # A third of the rows share one value; eight partitions hold them evenly.
+    assert max(r["count"] for r in sizes) < ROWS / 5
+
+
 def test_upsert_adds_up_hot_hits_before_the_shuffle(spark, fact):
     target = spark.createDataFrame(
         [], "athlete_id long, count long, created_at timestamp, updated_at timestamp"
