@@ -114,7 +114,7 @@ def test_salted_enrichment_is_complete_and_even(spark, fact, dim):
 def test_salts_only_beyond_the_broadcast_limit(spark, tmp_path):
     path = str(tmp_path / "dim")
     spark.range(100).select(F.col("id").alias("k"), F.lit("d").alias("d")).write.parquet(path)
-    stream, dim = spark.range(10).select(F.col("id").alias("k")), spark.read.parquet(path)
+    stream, dim = spark.range(1_000).select(F.col("id").alias("k")), spark.read.parquet(path)
     assert "BroadcastHashJoin" in initial(enrich_stream(stream, dim, "k"))
     assert "_salt#" not in initial(enrich_stream(stream, dim, "k"))
     with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "100"}):
