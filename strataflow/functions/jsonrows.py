@@ -34,5 +34,8 @@ def decode_rows(
     together with the rows that lack their key.
     """
     body = F.from_json(F.col(value).cast("string"), schema)
-    rows = messages.select(body.alias("body")).select("body.*")
-    return rows.filter(F.col(required).isNotNull()) if required else rows
+    if required is None:
+        return messages.select(body.alias("body")).select("body.*")
+    # A filter over plain fields would move below the projection and parse every
+    # message a second time; it does not move below a generator.
+    return messages.select(F.inline(F.array(body))).filter(F.col(required).isNotNull())

@@ -77,3 +77,8 @@ def test_measured_filter_sits_below_the_join(spark):
 def test_latest_row_needs_no_full_sort(spark):
     df = contract.queries()["freshness_latest_row"](spark, SF_DIR)
     assert "TakeOrderedAndProject" in physical(df)
+
+
+def test_messages_are_parsed_once(spark):
+    plan = initial(contract.queries()["json_decode_rows"](spark, SF_DIR))
+    assert plan.count("from_json(StructField(event_id") == 1
