@@ -45,6 +45,8 @@ def category_counts(
 ) -> DataFrame:
     """The count of each listed category from one pass, zero for one that is absent."""
     listed = list(dict.fromkeys(values))
+    if not listed:
+        raise ValueError("name at least one category")
     wanted = df.sparkSession.range(1).select(
         F.explode(F.array(*[F.lit(v) for v in listed])).alias(tag)
     )

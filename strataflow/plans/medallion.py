@@ -7,6 +7,7 @@ run as one job, or table by table as jobs of their own.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -29,6 +30,7 @@ from strataflow.sinks.layers import write_layer
 from strataflow.sources.files import scan_csv, scan_parquet
 from strataflow.sources.tables import require_table
 
+# Table and column names of the data model.
 DIMENSION, FACT = "athlete_bio", "athlete_event_results"
 KEY, CATEGORY = "athlete_id", "medal"
 GROUPS = ("sport", "medal", "sex", "country_noc")
@@ -199,9 +201,18 @@ def run_medallion(
     as_of: AsOf = None,
     ts_type: str = "timestamp",
 ) -> str:
-    """All layers of both tables; returns the path of the gold table."""
-    for table in (DIMENSION, FACT):
-        run_table(spark, landing, lake, table, recipe)
+    """All layers of both tables; returns the path of the gold table.
+
+    The tables do not depend on each other before gold, so their jobs run side by
+    side and one fills the executors that the tail of the other leaves idle.
+    """
+    with ThreadPoolExecutor(2) as pool:
+        branches = [
+            pool.submit(run_table, spark, landing, lake, table, recipe)
+            for table in (FACT, DIMENSION)
+        ]
+    for branch in branches:
+        branch.result()
     gold = f"{lake}/gold/avg_stats"
     aggregate(
         spark, f"{lake}/silver/{FACT}", f"{lake}/silver/{DIMENSION}", gold, recipe, as_of, ts_type

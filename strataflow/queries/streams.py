@@ -27,9 +27,8 @@ ROW = "athlete_id bigint, sport string, medal string, result_id bigint"
 GROUPS = ("sport", "medal", "sex", "country_noc")
 AVERAGES = {"avg_weight": "weight", "avg_balance": "balance"}
 
-# Some messages lack their key; some are no JSON at all.
 MESSAGE_COLUMNS = {
-    "athlete_id": "CASE WHEN event_id % 89 = 0 THEN NULL ELSE user_id END",
+    "athlete_id": "user_id",
     "sport": "event_type",
     "medal": """CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'None'
         WHEN 3 THEN 'Gold' ELSE 'Silver' END""",
@@ -37,7 +36,7 @@ MESSAGE_COLUMNS = {
 }
 _EVENT_SQL = f"""
     SELECT {', '.join(f'{e} AS {n}' for n, e in MESSAGE_COLUMNS.items())}
-    FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0"""
+    FROM events"""
 _DIM_SQL = f"""
     SELECT c_custkey AS athlete_id, c_mktsegment AS sex, c_acctbal AS balance,
            {DIM_COLUMNS['country_noc']} AS country_noc,
@@ -53,14 +52,20 @@ _STATS_SQL = f"""
 
 
 def publish(events: DataFrame, path: str) -> None:
-    """Append events to the message files, one folder per week."""
+    """Append events to the message files, one folder per week.
+
+    Each error event is followed by a message without a key and one that is no JSON,
+    which the decoding has to drop.
+    """
     rows = events.selectExpr(*[f"{e} AS {n}" for n, e in MESSAGE_COLUMNS.items()], "ts")
+    row, keyless = F.to_json(F.struct(*MESSAGE_COLUMNS)), F.to_json(F.struct("sport"))
     messages = rows.select(
         F.date_trunc("week", "ts").cast("date").alias("week"),
         F.col("athlete_id").cast("string").alias("key"),
-        F.when(F.col("result_id") % 97 == 0, F.lit("not json"))
-        .otherwise(F.to_json(F.struct(*MESSAGE_COLUMNS)))
-        .alias("value"),
+        F.explode(
+            F.when(F.col("sport") == "error", F.array(row, keyless, F.lit("not json")))
+            .otherwise(F.array(row))
+        ).alias("value"),
     )
     messages.write.mode("append").partitionBy("week").parquet(path)
 

@@ -72,6 +72,7 @@ COUNTER = StructType(
     ]
 )
 
+# Tables that the medallion jobs accept.
 PIPELINE_TABLES = ("athlete_bio", "athlete_event_results")
 
 
