@@ -3,12 +3,14 @@
 import pytest
 from pyspark.errors import AnalysisException
 
+from strataflow.plans.stream_averages import publish_table
 from strataflow.session import scratch_path, scratch_root
-from strataflow.sinks.connectors import jdbc_write_options
+from strataflow.sinks.connectors import append_jdbc, jdbc_write_options, replace_jdbc
 from strataflow.sources.files import scan_csv
-from strataflow.sources.jdbc import JdbcSplit, JdbcTarget, jdbc_read_options
-from strataflow.sources.kafka import KafkaCluster, kafka_read_options
+from strataflow.sources.jdbc import JdbcSplit, JdbcTarget, jdbc_read_options, scan_jdbc
+from strataflow.sources.kafka import KafkaCluster, kafka_read_options, stream_topic
 from strataflow.sources.tables import UnknownTable, require_table
+from strataflow.streaming.sinks import topic_sink
 
 TARGET = JdbcTarget("jdbc:db://host/base", "org.example.Driver", "t", "me", "secret")
 
@@ -47,6 +49,32 @@ def test_jdbc_write_options():
     assert (options["numPartitions"], options["batchsize"]) == ("4", "500")
 
 
+def test_jdbc_calls_reach_the_driver_class(spark):
+    """No driver is installed, so each call ends where Spark loads it."""
+    calls = [
+        lambda: scan_jdbc(spark, TARGET, JdbcSplit("id", "1", "900", 12)),
+        lambda: scan_jdbc(spark, TARGET),
+        lambda: append_jdbc(spark.range(1), TARGET),
+        lambda: replace_jdbc(spark.range(1), TARGET),
+    ]
+    for call in calls:
+        with pytest.raises(Exception, match="org.example.Driver"):
+            call()
+
+
+def test_kafka_calls_reach_the_connector(spark):
+    """The connector is not installed, so each call ends where Spark looks for it."""
+    cluster = KafkaCluster("h:9092")
+    calls = [
+        lambda: stream_topic(spark, cluster, "in", max_offsets_per_trigger=5000),
+        lambda: publish_table(spark.range(1), cluster, "out", key="id"),
+        lambda: topic_sink(cluster, "out")(spark.range(1), 0),
+    ]
+    for call in calls:
+        with pytest.raises(AnalysisException, match="kafka"):
+            call()
+
+
 def test_table_registry():
     assert require_table("athlete_bio") == "athlete_bio"
     with pytest.raises(UnknownTable):
