@@ -81,9 +81,10 @@ def grouped_averages(
     shuffle when the dimension is broadcast, and pays when facts repeat within a
     key: a key holding a third of all rows then joins as a handful of them.
     """
+    wanted = {*groups, *measures.values()} - {key}
+    fact = fact.select(key, *[g for g in groups if g in fact.columns and g != key])
+    dim = dim.select(key, *[c for c in dim.columns if c in wanted])
     fact, dim = drop_shared(fact, dim, key, shared_from)
-    fact = fact.select(key, *[g for g in groups if g in fact.columns])
-    dim = dim.select(key, *[c for c in dim.columns if c in {*groups, *measures.values()}])
     if measured_only:
         dim = measured_rows(dim, *measures.values())
     if fold_fact:

@@ -105,6 +105,16 @@ def test_fold_of_repeated_dimension_rows(spark):
         assert df.collect() == [("a", 3.0)]
 
 
+@pytest.mark.parametrize("fold", [False, True])
+def test_key_as_group_and_measure_on_both_sides(spark, fold):
+    fact = spark.createDataFrame([(1, "a", 9.0), (2, "a", 9.0)], "k int, g string, m double")
+    dim = spark.createDataFrame([(1, "x", 2.0), (2, "y", 4.0)], "k int, g string, m double")
+    for side, groups in (("fact", ["a", "a"]), ("dim", ["x", "y"])):
+        df = grouped_averages(fact, dim, "k", ["k", "g"], {"mean": "m"}, shared_from=side,
+                              fold_fact=fold, stamp_column=None)
+        assert sorted(df.collect()) == [(1, groups[0], 2.0), (2, groups[1], 4.0)]
+
+
 def test_salted_enrichment_is_complete_and_even(spark, fact, dim):
     plain = fact.join(dim, "athlete_id").select("payload", "sex", "weight")
     salted = enrich_stream(fact, dim, "athlete_id", salts=8).select("payload", "sex", "weight")
