@@ -49,9 +49,13 @@ def _numbered(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
     staged = scratch_path(spark, "merged")
     write_layer(merged, staged)
     merged = spark.read.parquet(staged)
-    last = merged.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()["last"]
+    seen = merged.agg(
+        F.coalesce(F.max("id"), F.lit(0)).alias("last"), F.count_if(F.col("id").isNull()).alias("new")
+    ).first()
+    if seen["new"] == 0:
+        return merged
     new = merged.filter(F.col("id").isNull()).drop("id")
     numbered = number_rows(
-        new, keys, scratch_path(spark, "numbering"), last + 1, unique=True
+        new, keys, scratch_path(spark, "numbering"), seen["last"] + 1, unique=True
     )
     return merged.filter(F.col("id").isNotNull()).unionByName(numbered)

@@ -47,7 +47,8 @@ class Recipe:
     clean per table, all string columns by default. ``distinct``: drop copies in
     silver. ``country_from``: the side whose country counts. ``measure``: options
     of ``to_measure``. ``raw_present``: both measures must be filled before they
-    are converted. ``measured_only``: both must be numbers. ``fill``: label missing
+    are converted. ``measured_only``: both must be numbers. ``silver_measures``: already
+    silver holds numbers, and only the rows that have both. ``fill``: label missing
     categories, with ``sentinels`` as further spellings of missing.
     """
 
@@ -59,6 +60,7 @@ class Recipe:
     measure: Mapping[str, Any] = field(default_factory=dict)
     raw_present: bool = False
     measured_only: bool = False
+    silver_measures: bool = False
     fill: bool = False
     sentinels: tuple[str, ...] = ()
     digits: int | None = None
@@ -85,6 +87,7 @@ RECIPES: dict[str, Recipe] = {
         distinct=False,
         country_from="dim",
         measured_only=True,
+        silver_measures=True,
         fill=True,
         sentinels=MISSING_WORDS,
         digits=2,
@@ -132,6 +135,10 @@ def refined(df: DataFrame, table: str, recipe: Recipe) -> DataFrame:
         df = normalise_text(df, columns)
     else:
         df = clean_text(df, columns, **recipe.clean)
+    if recipe.silver_measures and table == DIMENSION:
+        names = list(MEASURES.values())
+        df = map_columns(df, lambda c: to_measure(c, **recipe.measure), names)
+        df = measured_rows(df, *names)
     return drop_copies(df) if recipe.distinct else df
 
 

@@ -49,6 +49,13 @@ def test_measured_rows_only_with_labels(spark, landing, tmp_path):
     assert values == [("Rowing", "Gold", "F", "UK", 6365.0, 170.0)]
 
 
+def test_silver_may_hold_numbers(spark, landing, tmp_path):
+    gold(spark, landing, tmp_path, RECIPES["measured_rounded"])
+    silver = spark.read.parquet(str(tmp_path / "lake" / "silver" / DIMENSION))
+    assert dict(silver.dtypes)["height"] == "double"
+    assert [r.name for r in silver.collect()] == ["Zo A"]
+
+
 def test_whole_numbers_and_other_stamp(spark, landing, tmp_path):
     rows, values = gold(spark, landing, tmp_path, RECIPES["whole_numbers"])
     assert rows.columns[-1] == "processing_timestamp"
