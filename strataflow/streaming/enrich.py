@@ -12,7 +12,7 @@ from strataflow.operators.averages import group_averages
 from strataflow.operators.enrich import drop_shared, fits_broadcast
 
 _SALT = "_salt"
-DEFAULT_SALTS = 16
+DEFAULT_SALTS = 8
 
 
 def enrich_stream(

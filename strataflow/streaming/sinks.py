@@ -16,20 +16,30 @@ from strataflow.sources.kafka import KafkaCluster
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def table_sink(root: str, keep: int = 2) -> BatchSink:
+def _merged(batch: DataFrame, files: int | None) -> DataFrame:
+    """The batch in at most so many partitions.
+
+    A query with state keeps all its shuffle partitions, and each would write a file
+    of its own however few groups there are.
+    """
+    return batch if files is None else batch.coalesce(files)
+
+
+def table_sink(root: str, keep: int = 2, files: int | None = None) -> BatchSink:
     """The batch as the current version of a parquet table."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_snapshot(batch, root, number=batch_id, keep=keep)
+        write_snapshot(_merged(batch, files), root, number=batch_id, keep=keep)
 
     return write
 
 
-def message_file_sink(root: str, keep: int = 2) -> BatchSink:
+def message_file_sink(root: str, keep: int = 2, files: int | None = None) -> BatchSink:
     """The batch as JSON lines, the file form of a topic."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_snapshot(encode_rows(batch), root, number=batch_id, form="text", keep=keep)
+        lines = encode_rows(_merged(batch, files))
+        write_snapshot(lines, root, number=batch_id, form="text", keep=keep)
 
     return write
 

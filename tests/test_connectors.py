@@ -105,6 +105,13 @@ class FakeSession:
         return self.settings.get(name, default)
 
 
+def test_local_master_gets_one_temporary_folder():
+    local = FakeSession(**{"spark.master": "local[2]"})
+    local.sparkContext = local
+    local.applicationId = "local-test"
+    assert scratch_root(local) == scratch_root(local)
+
+
 def test_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError):
         scratch_root(FakeSession(**{"spark.master": "yarn"}))

@@ -90,6 +90,15 @@ def test_retried_batch_leaves_one_copy(spark, tmp_path):
     assert read_snapshot(spark, messages, "text").count() == 5
 
 
+def test_sinks_can_merge_their_files(spark, tmp_path):
+    batch = spark.range(0, 8, 1, 8)
+    for files, expected in ((None, 8), (2, 2)):
+        for make in (table_sink, message_file_sink):
+            root = tmp_path / f"{make.__name__}-{files}"
+            make(str(root), files=files)(batch, 0)
+            assert len(list(root.glob("snapshot=0/part-*"))) == expected
+
+
 def test_empty_batch_reaches_no_sink(spark):
     called = []
     fan_out(lambda b, i: called.append(i))(spark.range(0), 0)
