@@ -9,7 +9,7 @@ from strataflow.functions.jsonrows import decode_rows, encode_rows
 from strataflow.queries.registry import query, table
 
 COLUMNS = ("event_id", "user_id", "event_type", "value")
-_JSON = "to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'value': value})"
+_JSON = f"to_json({{{', '.join(f"'{c}': {c}" for c in COLUMNS)}}})"
 
 
 @query("json_encode_rows", f"SELECT cast({_JSON} AS varchar) AS value FROM events")
@@ -26,14 +26,9 @@ def json_encode_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("json_decode_rows", """
-    SELECT event_id, cast(user_id AS varchar) AS user_id, event_type, value,
-           cast(NULL AS integer) AS absent
-    FROM events""")
+    SELECT event_id, cast(user_id AS varchar) AS user_id, event_type, value FROM events""")
 def json_decode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A number read as text stays and an absent field is NULL.
-
-    The broken message that follows each error event drops out.
-    """
+    """A number can be read as text; the broken message after each error event drops out."""
     events = table(spark, sf_dir, "events")
     messages = encode_rows(events, COLUMNS, key="event_type").select(
         F.explode(
@@ -41,5 +36,5 @@ def json_decode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.array("value"))
         ).alias("value")
     )
-    schema = "event_id bigint, user_id string, event_type string, value double, absent int"
+    schema = "event_id bigint, user_id string, event_type string, value double"
     return decode_rows(messages, schema, required="event_id")

@@ -126,6 +126,12 @@ def test_json_round_trip_and_defects(spark):
     ]
 
 
+def test_absent_field_and_null_message(spark):
+    df = spark.createDataFrame([('{"a": 1}',), (None,), ("[]",)], "value string")
+    assert decode_rows(df, "a int, b int").collect()[:2] == [(1, None), (None, None)]
+    assert decode_rows(df, "a int, b int", required="a").collect() == [(1, None)]
+
+
 def test_binary_messages_decode(spark):
     df = spark.createDataFrame([(bytearray(b'{"a": 5}'),)], "value binary")
     assert decode_rows(df, "a string").collect() == [("5",)]

@@ -130,6 +130,16 @@ def test_timed_trigger_is_stopped(spark, tmp_path, people):
     assert read_snapshot(spark, out).count() == 1
 
 
+def test_one_table_of_a_folder_as_a_stream(spark, tmp_path):
+    for name, ids in (("a", 3), ("b", 5)):
+        spark.range(ids).coalesce(1).write.parquet(str(tmp_path / "all" / name))
+        part = next((tmp_path / "all" / name).glob("part-*.parquet"))
+        part.rename(tmp_path / f"{name}.parquet")
+    rows = stream_message_files(spark, str(tmp_path), schema="id long", glob="b.parquet")
+    start_append(rows, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+
+
 def test_append_writes_each_row_once(spark, tmp_path, people):
     topic, out, ck = (str(tmp_path / n) for n in ("in", "out", "ck"))
     for part in ([(1, "a")], [(2, "b"), (7, "b")]):
