@@ -7,7 +7,7 @@ from strataflow.session import build_session
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
+        "local[8,3]",  # a failed task is tried again
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__host="127.0.0.1",
