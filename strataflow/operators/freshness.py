@@ -31,18 +31,25 @@ def newest_within(df: DataFrame, ts: str, max_age: int, as_of: AsOf = None) -> D
     return df.agg((age <= max_age).alias(RESULT))
 
 
+def _flag(rows: DataFrame) -> DataFrame:
+    return rows.agg(F.when(F.count(F.lit(1)) > 0, 1).otherwise(0).alias(RESULT))
+
+
 def newest_within_flag(df: DataFrame, ts: str, max_age: int, as_of: AsOf = None) -> DataFrame:
-    """``newest_within`` as 1 or 0, with 0 for no rows."""
-    age = whole_seconds_between(F.max(ts), _now(df, ts, as_of))
-    return df.agg(F.when(age <= max_age, 1).otherwise(0).alias(RESULT))
+    """``newest_within`` as 1 or 0, with 0 for no rows.
+
+    The newest row is recent if any row is, and a filter lets the scan skip the rest
+    of the table where a maximum would read it.
+    """
+    now = _now(df, ts, as_of)
+    return _flag(df.filter(at_most_whole_seconds_old(F.col(ts), now, max_age)))
 
 
 def newest_strictly_within(
     df: DataFrame, ts: str, max_age: int, as_of: AsOf = None
 ) -> DataFrame:
     """Is the newest row younger than ``max_age`` seconds? 1 or 0; no cut, no equality."""
-    limit = _now(df, ts, as_of) - seconds(max_age)
-    return df.agg(F.when(F.max(ts) > limit, 1).otherwise(0).alias(RESULT))
+    return _flag(df.filter(F.col(ts) > _now(df, ts, as_of) - seconds(max_age)))
 
 
 def _recent(df: DataFrame, ts: str, max_age: int, as_of: AsOf) -> DataFrame:

@@ -54,6 +54,8 @@ def test_recency_filters_reach_the_scan(spark):
     events = spark.read.parquet(f"{SF_DIR}/events.parquet")
     now = datetime(2024, 1, 31)
     for df in (
+        freshness.newest_within_flag(events, "ts", 30, now),
+        freshness.newest_strictly_within(events, "ts", 30, now),
         freshness.recent_count(events, "ts", 30, now),
         freshness.any_recent(events, "ts", 30, now),
         freshness.any_recent(events, "ts", 30, now, whole_seconds=True),
