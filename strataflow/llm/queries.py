@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import simhash
+from strataflow.llm import quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +23,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality.score_documents(
+        _documents(spark, sf_dir).select("doc_id", "text"), labels.select("doc_id", "quality")
+    )
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op9_quality": op9_quality,
 }
 ORACLES: dict[str, str] = {}
