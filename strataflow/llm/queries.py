@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import quality, simhash
+from strataflow.llm import lines, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.drop_recurring_lines(_documents(spark, sf_dir).select("doc_id", "text"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = quality.score_documents(
@@ -33,6 +38,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op6_line_templates": op6_line_templates,
     "op9_quality": op9_quality,
 }
 ORACLES: dict[str, str] = {}
