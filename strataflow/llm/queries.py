@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import lines, quality, simhash
+from strataflow.llm import lines, mixing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,11 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_sources(_documents(spark, sf_dir).select("doc_id", "text", "source"))
+    return mix.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = lines.drop_recurring_lines(_documents(spark, sf_dir).select("doc_id", "text"))
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
@@ -38,6 +43,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op5_mixing": op5_mixing,
     "op6_line_templates": op6_line_templates,
     "op9_quality": op9_quality,
 }
