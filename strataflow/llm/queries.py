@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import lines, mixing, quality, simhash
+from strataflow.llm import bpe, lines, mixing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,19 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
+    decoded = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        bpe.ids_digest().alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(_documents(spark, sf_dir).select("doc_id", "text", "source"))
     return mix.select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -43,6 +57,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op3_byte_bpe": op3_byte_bpe,
     "op5_mixing": op5_mixing,
     "op6_line_templates": op6_line_templates,
     "op9_quality": op9_quality,
