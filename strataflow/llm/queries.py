@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, lines, mixing, quality, simhash
+from strataflow.llm import bpe, lines, mixing, quality, sharding, simhash, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,6 +47,19 @@ def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard_documents(_documents(spark, sf_dir).select("doc_id", "text"))
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = quality.score_documents(
@@ -55,11 +68,19 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    linked = vectors.near_vectors(rows.select("vec_id", "embedding", "label"))
+    return linked.select("vec_id", "n_links", "component_id", "kept")
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op5_mixing": op5_mixing,
     "op6_line_templates": op6_line_templates,
+    "op8_histogram_sort": op8_histogram_sort,
     "op9_quality": op9_quality,
+    "op10_vectors": op10_vectors,
 }
 ORACLES: dict[str, str] = {}
