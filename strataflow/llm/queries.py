@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm import bpe, lines, mixing, quality, sharding, simhash, vectors
+from strataflow.llm import (
+    bpe,
+    lines,
+    mixing,
+    quality,
+    rules,
+    secret_scan,
+    sharding,
+    simhash,
+    vectors,
+)
+from strataflow.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +35,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge_documents(_documents(spark, sf_dir).select("doc_id", "text"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "posterior",
+    )
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -37,6 +63,20 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(
+        _documents(spark, sf_dir).select("doc_id", "text"), scratch_path(spark, "ledger")
+    )
+    return found.select(
+        "doc_id",
+        secret_scan.count_kind("assign").alias("n_assign"),
+        secret_scan.count_kind("access").alias("n_access"),
+        secret_scan.count_kind("hex").alias("n_hex"),
+        F.sha2(secret_scan.span_list(secret_scan.BASE_KINDS), 256).alias("base_sha256"),
+        secret_scan.span_list().alias("spans"),
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(_documents(spark, sf_dir).select("doc_id", "text", "source"))
     return mix.select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -76,7 +116,9 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
+    "op2_rules": op2_rules,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_secrets": op4_secrets,
     "op5_mixing": op5_mixing,
     "op6_line_templates": op6_line_templates,
     "op8_histogram_sort": op8_histogram_sort,
