@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataflow.llm.common import without
+from strataflow.llm.common import whole, without
 
 #: Words, and pieces of words, whose ids a worker remembers at least half of.
 REMEMBERED = 400_000
@@ -279,6 +279,17 @@ def decode(docs: DataFrame, path: str, pattern: str | None = None) -> DataFrame:
     return rows.mapInArrow(_over_batches(add), schema)
 
 
+def verified(docs: DataFrame, path: str, pattern: str | None = None) -> DataFrame:
+    """Every row of ``encode`` with ``n_tokens`` and whether its ids give its text back."""
+    decoded = decode(docs, path, pattern)
+    return decoded.withColumns(
+        {
+            "n_tokens": F.size("ids").cast("bigint"),
+            "intact": F.col("decoded") == whole("text").cast("binary"),
+        }
+    ).drop("decoded")
+
+
 def ids_digest(ids: str = "ids") -> Column:
     """SHA-256 of the decimal ids, joined by commas."""
     return F.sha2(F.array_join(F.col(ids).cast("array<string>"), ","), 256)

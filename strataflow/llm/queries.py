@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,5 +125,8 @@ QUERIES: dict[str, Query] = {
     "op8_histogram_sort": op8_histogram_sort,
     "op9_quality": op9_quality,
     "op10_vectors": op10_vectors,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
