@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,9 +20,11 @@ from pyspark.sql import types as T
 from strataflow.llm.common import whole, without
 
 #: Words, and pieces of words, whose ids a worker remembers at least half of.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Characters that are cut up at a time, about.
 GROUP_CHARACTERS = 500_000
+#: Text or ids that a batch passes on at a time, about.
+PART_BYTES = 4_000_000
 # Fixed value: the code points with the Unicode property White_Space, which is the \s of
 # the pattern that splits text before merging.
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -91,8 +96,36 @@ def _trimmed(known: dict[str, bytes]) -> dict[str, bytes]:
     return dict(islice(known.items(), REMEMBERED // 2))
 
 
+@lru_cache(maxsize=4)
+def token_bytes(path: str) -> list[bytes]:
+    """The bytes that each id stands for: the byte table of a vocabulary, reversed."""
+    if path.endswith(".tiktoken"):
+        with open(path, "rb") as lines:
+            pairs = [line.split() for line in lines]
+        known = {int(rank): base64.b64decode(token) for token, rank in pairs}
+    else:
+        with open(path, encoding="utf-8") as file:
+            vocabulary = json.load(file)["model"]["vocab"]
+        of_character = {c: b for b, c in enumerate(byte_characters())}
+        known = {
+            number: bytes(of_character[c] for c in token)
+            if all(c in of_character for c in token)
+            else token.encode()  # no byte-level token: it stands for its own text
+            for token, number in vocabulary.items()
+        }
+    table = [b""] * (max(known, default=-1) + 1)
+    for number, token in known.items():
+        table[number] = token
+    return table
+
+
+def decode_ids(ids: np.ndarray, table: list[bytes]) -> bytes:
+    """The bytes that the ids stand for; an unknown id raises."""
+    return b"".join([table[i] for i in ids.tolist()])
+
+
 class Codec:
-    """Encodes texts to ids and ids back to bytes, in one worker."""
+    """Encodes texts to ids, in one worker."""
 
     _loaded: dict[tuple, Codec] = {}
 
@@ -100,15 +133,7 @@ class Codec:
         self.tokenizer = load_tokenizer(path, pattern)
         self._words: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
-        of_character = {c: b for b, c in enumerate(byte_characters())}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.bytes_of = [b""] * (max(vocabulary.values(), default=-1) + 1)
-        for token, number in vocabulary.items():
-            if all(c in of_character for c in token):
-                self.bytes_of[number] = bytes(of_character[c] for c in token)
-            else:  # no byte-level token, so it stands for its own text
-                self.bytes_of[number] = token.encode()
-        self.widths = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.widths = np.array([len(b) for b in token_bytes(path)], np.int64)
 
     @classmethod
     def of(cls, path: str, pattern: str | None = None) -> Codec:
@@ -198,11 +223,6 @@ class Codec:
         if start < len(texts):
             yield start, len(texts)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes that the ids stand for; an unknown id raises."""
-        table = self.bytes_of
-        return b"".join([table[i] for i in ids.tolist()])
-
     def starts(self, text: str, ids: np.ndarray) -> np.ndarray:
         """Code point at which each token starts; tokens that split a character share it."""
         raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
@@ -218,12 +238,19 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def _over_batches(
-    add: Callable[[pa.RecordBatch], dict[str, pa.Array]],
+    add: Callable[[pa.RecordBatch], dict[str, pa.Array]], sizes: Callable[[pa.RecordBatch], pa.Array]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Add columns to batches, cut into parts of about ``PART_BYTES`` so that few are held."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = dict(zip(batch.schema.names, batch.columns, strict=True)) | add(batch)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+            long = sizes(batch).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            part = np.cumsum(long) // PART_BYTES
+            cuts = [0, *(np.flatnonzero(part[1:] != part[:-1]) + 1).tolist(), len(part)]
+            for start, end in zip(cuts[:-1], cuts[1:], strict=True):
+                some = batch.slice(start, end - start)
+                columns = dict(zip(some.schema.names, some.columns, strict=True)) | add(some)
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return run
 
@@ -254,10 +281,12 @@ def encode(
     schema = T.StructType([*rows.schema.fields]).add("ids", T.ArrayType(T.IntegerType(), False))
     if offsets:
         schema = schema.add("starts", T.ArrayType(T.IntegerType(), False))
-    return rows.mapInArrow(_over_batches(add), schema)
+    return rows.mapInArrow(
+        _over_batches(add, lambda batch: pc.binary_length(batch.column("text"))), schema
+    )
 
 
-def decode(docs: DataFrame, path: str, pattern: str | None = None) -> DataFrame:
+def decode(docs: DataFrame, path: str) -> DataFrame:
     """Every row with the ``decoded`` bytes of its ``ids``.
 
     Characters that are split between tokens are whole again once their bytes meet. NULL
@@ -266,22 +295,26 @@ def decode(docs: DataFrame, path: str, pattern: str | None = None) -> DataFrame:
     """
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        codec = Codec.of(path, pattern)
-        lists = batch.column("ids")
-        flat, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths()
-        sizes = ends.fill_null(0).to_numpy(zero_copy_only=False)
-        bounds = np.concatenate(([0], np.cumsum(sizes)))
-        parts = [codec.decode(flat[a:b]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        table, lists = token_bytes(path), batch.column("ids")
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        parts = [
+            decode_ids(flat[a:b], table) for a, b in zip(ends - sizes, ends, strict=True)
+        ]
         return {"decoded": pa.array(parts, pa.binary())}
 
     rows = without(docs, "decoded")
     schema = T.StructType([*rows.schema.fields]).add("decoded", T.BinaryType())
-    return rows.mapInArrow(_over_batches(add), schema)
+    return rows.mapInArrow(
+        _over_batches(add, lambda batch: pc.multiply(pc.list_value_length(batch.column("ids")), 4)),
+        schema,
+    )
 
 
-def verified(docs: DataFrame, path: str, pattern: str | None = None) -> DataFrame:
+def verified(docs: DataFrame, path: str) -> DataFrame:
     """Every row of ``encode`` with ``n_tokens`` and whether its ids give its text back."""
-    decoded = decode(docs, path, pattern)
+    decoded = decode(docs, path)
     return decoded.withColumns(
         {
             "n_tokens": F.size("ids").cast("bigint"),

@@ -55,7 +55,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    decoded = bpe.decode(encoded, ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode(encoded, ranks)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
