@@ -93,7 +93,7 @@ def measures(docs: DataFrame) -> DataFrame:
             "_n_capitals": long(F.regexp_count(text, F.lit(r"\p{Lu}"))),
             "_n_cries": long(F.regexp_count(text, F.lit("[!?]"))),
             "_n_bars": long(F.regexp_count(text, F.lit(r"\|"))),
-            "_n_odd": long(F.regexp_count(text, F.lit(r"[^\p{L}\s.,;:'-]"))),
+            "_n_odd": long(F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s.,;:'-]"))),
         }
     ).drop("text", "_w", "_l")
 
