@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,8 +18,11 @@ BITS = 64
 # Fixed value: the seed of Spark's own xxhash64.
 SEED = 42
 BLOCK_BITS = 16
+BLOCKS = BITS // BLOCK_BITS
 #: Rows of one trie that a single task joins with themselves; larger ones are dealt out in pairs.
 UNIT_ROWS = 20_000
+# What names a unit of work: the trie, the prefixes of both nodes, the chunks of both.
+_UNIT = ("turn", "low", "high", "one", "two")
 _LEAF_PAIRS = 64
 _FRONTIER = 200_000
 
@@ -73,18 +77,23 @@ def _expand(lo_a, hi_a, lo_b, hi_b):
 
 
 def trie_pairs(
-    values: np.ndarray, roots: tuple[np.ndarray, ...], depth: int, budget: int
+    values: np.ndarray,
+    roots: tuple[np.ndarray, ...],
+    depth: int,
+    budget: int,
+    block_budget: int = 0,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of values that differ in at most ``budget`` bits.
 
     A trie node is a range of sorted values with a common prefix. Pairs of nodes go
     down together, one bit a step: children on the same side keep the differing bits
     so far, children on opposite sides add one, and a pair over the budget is cut with
-    all below it. Ranges with few pairs left are compared at once. ``roots`` holds the
-    first pairs (low and high end of either range); both ranges share ``depth`` bits.
+    all below it; within the first block of bits the budget is ``block_budget``. Ranges
+    with few pairs left are compared at once. ``roots`` holds the first pairs: low and
+    high end of either range, and the bits that their prefixes of ``depth`` bits differ in.
     """
     ones: dict[int, np.ndarray] = {}
-    pending = [(depth, *roots, np.zeros(len(roots[0]), np.int8))]
+    pending = [(depth, *roots)]
     while pending:
         level, lo_a, hi_a, lo_b, hi_b, spent = pending.pop()
         if len(lo_a) > _FRONTIER:  # depth first beyond this, so that memory stays bounded
@@ -118,8 +127,9 @@ def trie_pairs(
             (mid_a, hi_a, lo_b, mid_b, spent + 1, ~twin),
         )
         kept = []
+        most = block_budget if level < BLOCK_BITS else budget
         for la, ha, lb, hb, used, also in children:
-            keep = (la < ha) & (lb < hb) & (used <= budget)
+            keep = (la < ha) & (lb < hb) & (used <= most)
             keep &= ~((la == lb) & (ha - la == 1))
             if also is not None:
                 keep &= also
@@ -158,7 +168,9 @@ def _units(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataF
         yield pd.concat(held, ignore_index=True)
 
 
-def _forest(budget: int, keys: list[str]):
+def _forest(depth: int, budget: int, check_budget: int | None):
+    keys = list(_UNIT)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for unit in _units(frames, keys):
             values = unit["rotated"].to_numpy().astype(np.int64).view(np.uint64)
@@ -169,108 +181,154 @@ def _forest(budget: int, keys: list[str]):
             fresh[1:-1] = (ids[1:] != ids[:-1]).any(axis=1)
             bounds = np.flatnonzero(fresh)
             lo, hi = bounds[:-1], bounds[1:]
-            # In a unit of two chunks the first chunk's rows come first (side 0).
+            # A unit of two parts has the rows of the first part first (side 0).
             right = np.concatenate(([0], np.cumsum(unit["side"].to_numpy(), dtype=np.int64)))
             mid = hi - (right[hi] - right[lo])
-            own = unit["one"].to_numpy()[lo] == unit["two"].to_numpy()[lo]
-            roots = (lo, np.where(own, hi, mid), np.where(own, lo, mid), hi)
+            low, high, one, two = (unit[k].to_numpy()[lo] for k in keys[1:])
+            own = (low == high) & (one == two)
+            spent = np.bitwise_count(low ^ high).astype(np.int8)
+            roots = (lo, np.where(own, hi, mid), np.where(own, lo, mid), hi, spent)
+            filled = (roots[0] < roots[1]) & (roots[2] < roots[3])
+            roots = tuple(x[filled] for x in roots)
+            checks = unit["check"].to_numpy().astype(np.int64).view(np.uint64)
             labels = np.arange(len(unit))
-            for i, j in trie_pairs(values, roots, BLOCK_BITS, budget):
+            for i, j in trie_pairs(values, roots, depth, budget, budget // BLOCKS):
+                if check_budget is not None:
+                    near = np.bitwise_count(checks[i] ^ checks[j]) <= check_budget
+                    i, j = i[near], j[near]
                 labels = _unite(labels, i, j)
             linked = np.flatnonzero(labels != np.arange(len(unit)))
             if len(linked):
-                prints = unit["fp"].to_numpy()
-                yield pd.DataFrame({"a": prints[linked], "b": prints[labels[linked]]})
+                nodes = unit["node"].to_numpy()
+                yield pd.DataFrame({"a": nodes[linked], "b": nodes[labels[linked]]})
 
     return run
 
 
-def near_links(prints: DataFrame, budget: int = 3, unit_rows: int = UNIT_ROWS) -> DataFrame:
-    """Links ``(a, b)`` that join all distinct fingerprints ``fp`` within ``budget`` bits.
-
-    Two fingerprints within the budget agree in at least one of ``budget + 1`` blocks
-    of the word. The word is therefore rotated so that each block leads once, which
-    makes as many tries whose first levels spend nothing, and the nodes below them can
-    be traversed apart from each other. A node with more than ``unit_rows`` values is
-    dealt into chunks by hash, and each pair of chunks is one unit of work, so that a
-    task holds a bounded number of values. A unit returns a spanning forest of its
-    links, so dense groups return one link per value, not one per pair.
+def near_links(
+    prints: DataFrame,
+    budget: int = 3,
+    check_budget: int | None = None,
+    unit_rows: int = UNIT_ROWS,
+) -> DataFrame:
+    """Links ``(a, b)`` that join all ``node`` whose ``fp`` are within ``budget`` bits.
+
+    Two fingerprints within the budget differ in at most ``budget // 4`` bits in one of the
+    four blocks of the word. The word is therefore rotated so that each block leads once:
+    four tries, with a small budget in their first levels. The pairs of nodes at some
+    depth are the units of work. With nothing to spend in a block that depth is the whole
+    block; else it is chosen for about ``unit_rows`` values a node, as each node meets
+    several. A node with more is dealt into chunks by hash, and each pair of chunks is a
+    unit, so that a task holds a bounded number of values. A unit returns a spanning forest
+    of its links, so dense groups return one link per value, not one per pair.
+
+    With ``check_budget`` the second fingerprints ``check`` must be within it as well.
     """
-    if budget != BITS // BLOCK_BITS - 1:
-        raise ValueError("the block width fits a budget of three bits")
-    fp, turn = F.col("fp"), F.col("turn")
+    spare = budget // BLOCKS
+    depth = BLOCK_BITS
+    if spare:
+        many = prints.count()
+        depth = min(BLOCK_BITS, max(0, math.ceil(math.log2(max(many, 1) / unit_rows))))
     rotated = F.expr(
         f"shiftleft(fp, turn * {BLOCK_BITS})"
         f" | if(turn = 0, 0L, shiftrightunsigned(fp, {BITS} - turn * {BLOCK_BITS}))"
     )
-    turned = prints.select(
-        fp, F.explode(F.array(*[F.lit(t) for t in range(budget + 1)])).alias("turn")
-    ).select(fp, turn, rotated.alias("rotated"))
-    turned = turned.withColumn(
-        "node", F.shiftrightunsigned("rotated", BITS - BLOCK_BITS).cast("int")
+    head = F.shiftrightunsigned("rotated", BITS - depth) if depth else F.lit(0)
+    check = F.lit(0).cast("bigint") if check_budget is None else F.col("check")
+    turned = (
+        prints.select(
+            "node", "fp", check.alias("check"),
+            F.explode(F.array(*[F.lit(t) for t in range(BLOCKS)])).alias("turn"),
+        )
+        .withColumn("rotated", rotated)
+        .withColumn("head", head.cast("int"))
+        .drop("fp")
     )
-    # At most (budget + 1) * 2^16 nodes exist, whatever the input: a broadcast of bounded size.
+    # At most BLOCKS * 2^BLOCK_BITS heads exist, whatever the input: a bounded broadcast.
     crowded = (
-        turned.groupBy("turn", "node")
+        turned.groupBy("turn", "head")
         .agg(F.ceil(F.count(F.lit(1)) / F.lit(unit_rows)).cast("int").alias("chunks"))
         .where(F.col("chunks") > 1)
     )
-    chunk = F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")
-    units = (
-        turned.join(F.broadcast(crowded), ["turn", "node"], "left")
-        .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-        .withColumn("chunk", chunk)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select(
-            "fp",
-            "rotated",
-            "turn",
-            "node",
-            F.least("chunk", "other").alias("one"),
-            F.greatest("chunk", "other").alias("two"),
-            (F.col("chunk") > F.col("other")).cast("int").alias("side"),
+    facing = crowded.select("turn", F.col("head").alias("other_head"), F.col("chunks").alias("other_chunks"))
+    masks = [m for m in range(1 << depth) if m.bit_count() <= spare]
+    met = (
+        turned.withColumn("mask", F.explode(F.array(*[F.lit(m) for m in masks])))
+        .withColumn("other_head", F.col("head").bitwiseXOR(F.col("mask")))
+        .join(F.broadcast(crowded), ["turn", "head"], "left")
+        .join(F.broadcast(facing), ["turn", "other_head"], "left")
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.coalesce("chunks", F.lit(1))).cast("int"))
+        .withColumn(
+            "other", F.explode(F.sequence(F.lit(0), F.coalesce("other_chunks", F.lit(1)) - 1))
         )
     )
-    keys = ["turn", "node", "one", "two"]
+    first = F.when(F.col("head") == F.col("other_head"), F.col("chunk") <= F.col("other")).otherwise(
+        F.col("head") < F.col("other_head")
+    )
+    units = met.select(
+        "node",
+        "check",
+        "rotated",
+        "turn",
+        F.least("head", "other_head").alias("low"),
+        F.greatest("head", "other_head").alias("high"),
+        F.when(first, F.col("chunk")).otherwise(F.col("other")).alias("one"),
+        F.when(first, F.col("other")).otherwise(F.col("chunk")).alias("two"),
+        (~first).cast("int").alias("side"),
+    )
     return (
-        units.repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInPandas(_forest(budget, keys), "a long, b long")
+        units.repartition(*_UNIT)
+        .sortWithinPartitions(*_UNIT)
+        .mapInPandas(_forest(depth, budget, check_budget), "a long, b long")
     )
 
 
-def near_groups(docs: DataFrame, size: int = 3, budget: int = 3) -> DataFrame:
-    """Every row, without its text, with its ``fp``, ``component_id`` and ``fp_root``.
-
-    Fingerprints at ``budget`` or fewer differing bits are linked, and the component is
-    named by the smallest doc_id reachable. Each row of the input gives one row; rows
-    that share a doc_id keep their own fingerprints. NULL doc_ids do not name a
-    component unless it has no other (then it is NULL). NULL texts count as empty, and
-    all texts without words form one component. An empty table gives an empty result.
-    ``fp_root``, a fingerprint, tells components apart where a doc_id is in several.
+def near_groups(
+    docs: DataFrame,
+    size: int = 3,
+    budget: int = 3,
+    check_size: int | None = None,
+    check_budget: int | None = None,
+) -> DataFrame:
+    """Every row, without its text, with its ``fp``, ``component_id`` and ``root``.
+
+    Fingerprints of ``size`` words at ``budget`` or fewer differing bits are linked; with a
+    ``check_size``, only if the fingerprints of that many words are within ``check_budget``
+    too. The component is named by the smallest doc_id reachable. Each row of the input
+    gives one row; rows that share a doc_id keep their own fingerprints. A NULL doc_id
+    names no component that has another. NULL texts count as empty, and all texts
+    without words form one component. An empty table gives an empty result. ``root``, a
+    number, tells components apart where a doc_id is in several. Input columns with a
+    result's name are replaced.
     """
-    clear = without(docs, "fp", "component_id", "fp_root")
-    rows = stage(clear.withColumn("fp", fingerprint("text", size)).drop("text"), "simhash")
-    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    prints = stage(prints, "prints")
-    roots = connected_components(near_links(prints.select("fp"), budget), "a", "b")
-    known = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
-        "root", F.coalesce("root", "fp")
+    clear = without(docs, "fp", "check", "node", "root", "component_id")
+    marked = clear.withColumn("fp", fingerprint("text", size))
+    keys = ["fp"]
+    if check_size is not None:
+        marked, keys = marked.withColumn("check", fingerprint("text", check_size)), ["fp", "check"]
+    rows = stage(marked.drop("text"), "simhash")
+    prints = rows.groupBy(*keys).agg(F.min("doc_id").alias("low"))
+    prints = stage(prints.withColumn("node", F.monotonically_increasing_id()), "prints")
+    links = near_links(prints, budget, check_budget if check_size is not None else None)
+    known = prints.join(connected_components(links, "a", "b"), "node", "left").withColumn(
+        "root", F.coalesce("root", "node")
     )
     names = known.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = known.join(names, "root").select("fp", "component_id", F.col("root").alias("fp_root"))
-    return rows.join(named, "fp")
+    return rows.join(known.select(*keys, "root"), keys).join(names, "root").select(
+        *[c for c in rows.columns if c != "check"], "component_id", "root"
+    )
 
 
-def drop_near_copies(docs: DataFrame, size: int = 3, budget: int = 3) -> DataFrame:
+def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     """One document of each near-copy group: the one with the smallest doc_id.
 
-    Of rows that repeat that doc_id one stays; a group without any doc_id keeps one row.
-    Columns are those of the input, whatever their names; an empty table stays empty.
+    ``options`` are those of ``near_groups``. Of rows that repeat that doc_id one stays; a
+    group without any doc_id keeps one row. Columns are those of the input, whatever
+    their names; an empty table stays empty.
     """
     rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-docs")
-    groups = near_groups(rows.select("doc_id", "text", "_row"), size, budget)
-    best = groups.groupBy("fp_root").agg(
+    groups = near_groups(rows.select("doc_id", "text", "_row"), **options)
+    best = groups.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best")
     )
     return rows.join(best.select(F.col("best._row").alias("_row")), "_row", "left_semi").select(
