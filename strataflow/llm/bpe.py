@@ -237,7 +237,11 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
 
 
-def _over_batches(
+def text_sizes(batch: pa.RecordBatch) -> pa.Array:
+    return pc.binary_length(batch.column("text"))
+
+
+def over_batches(
     add: Callable[[pa.RecordBatch], dict[str, pa.Array]], sizes: Callable[[pa.RecordBatch], pa.Array]
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Add columns to batches, cut into parts of about ``PART_BYTES`` so that few are held."""
@@ -282,7 +286,7 @@ def encode(
     if offsets:
         schema = schema.add("starts", T.ArrayType(T.IntegerType(), False))
     return rows.mapInArrow(
-        _over_batches(add, lambda batch: pc.binary_length(batch.column("text"))), schema
+        over_batches(add, text_sizes), schema
     )
 
 
@@ -307,7 +311,7 @@ def decode(docs: DataFrame, path: str) -> DataFrame:
     rows = without(docs, "decoded")
     schema = T.StructType([*rows.schema.fields]).add("decoded", T.BinaryType())
     return rows.mapInArrow(
-        _over_batches(add, lambda batch: pc.multiply(pc.list_value_length(batch.column("ids")), 4)),
+        over_batches(add, lambda batch: pc.multiply(pc.list_value_length(batch.column("ids")), 4)),
         schema,
     )
 

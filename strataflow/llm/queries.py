@@ -18,6 +18,7 @@ from strataflow.llm import (
     secret_scan,
     sharding,
     simhash,
+    token_files,
     vectors,
 )
 from strataflow.session import scratch_path
@@ -88,6 +89,13 @@ def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    token_files.write_tokens(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_tokens(spark, path, ids=False)
+
+
 def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shard_documents(_documents(spark, sf_dir).select("doc_id", "text"))
     return sharded.select(
@@ -122,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "op4_secrets": op4_secrets,
     "op5_mixing": op5_mixing,
     "op6_line_templates": op6_line_templates,
+    "op7_token_files": op7_token_files,
     "op8_histogram_sort": op8_histogram_sort,
     "op9_quality": op9_quality,
     "op10_vectors": op10_vectors,
