@@ -124,34 +124,33 @@ def drop_recurring_lines(
     pass through; input columns named ``n_lines`` or ``n_dropped`` are replaced.
     """
     places = _repeats(docs.select("doc_id", "text"), min_documents, depth, similarity)
-    places = places.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "places")
-    columns = without(docs, "n_lines", "n_dropped").columns
-    all_lines = F.split("text", "\n")
-    kept = F.array_join(
-        F.filter(all_lines, lambda line, at: ~F.array_contains(F.col("places"), at)), "\n"
+    kept_rows = without(docs, "n_lines", "n_dropped")
+    # Within a struct the input's columns cannot clash with those of the plan.
+    rows = kept_rows.select(
+        F.struct("*").alias("doc"),
+        F.col("doc_id").alias("id"),
+        F.xxhash64(whole("text")).alias("text_digest"),
     )
-    is_host = F.col("places").isNotNull() & (
-        F.length("_kept") >= F.length("text") * F.lit(1 - copy_share)
+    joined = rows.join(
+        places,
+        F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_digest") == F.col("digest")),
+        "left",
     )
-    joined = (
-        without(docs, "n_lines", "n_dropped")
-        .withColumn("_digest", F.xxhash64(whole("text")))
-        .join(
-            places.withColumnRenamed("_digest", "_place_digest"),
-            F.col("doc_id").eqNullSafe(F.col("_id"))
-            & (F.col("_digest") == F.col("_place_digest")),
-            "left",
-        )
-        .withColumn("_kept", F.when(F.col("places").isNotNull(), kept))
-        .withColumn("_host", is_host)
+    text, found = F.col("doc.text"), F.split("doc.text", "\n")
+    rest = F.filter(found, lambda line, at: ~F.array_contains(F.col("places"), at))
+    cut = joined.withColumn(
+        "cut", F.when(F.col("places").isNotNull(), F.array_join(rest, "\n"))
+    ).withColumn(
+        "hosts",
+        F.coalesce(F.length("cut") >= F.length(text) * F.lit(1 - copy_share), F.lit(False)),
     )
-    changed = {"text": F.when(F.col("_host"), F.col("_kept")).otherwise(F.col("text"))}
-    if "n_chars" in columns:
-        changed["n_chars"] = F.when(
-            F.col("_host"), F.length("_kept").cast("bigint")
-        ).otherwise(F.col("n_chars").cast("bigint"))
-    return joined.select(
-        *[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in columns],
-        F.coalesce(F.size(all_lines), F.lit(0)).alias("n_lines"),
-        F.when(F.col("_host"), F.size("places")).otherwise(F.lit(0)).alias("n_dropped"),
+    changed = {"text": F.when(F.col("hosts"), F.col("cut")).otherwise(text)}
+    if "n_chars" in kept_rows.columns:
+        changed["n_chars"] = F.when(F.col("hosts"), F.length("cut").cast("bigint")).otherwise(
+            F.col("doc.n_chars").cast("bigint")
+        )
+    return cut.select(
+        *[changed.get(c, F.col("doc").getField(c)).alias(c) for c in kept_rows.columns],
+        F.coalesce(F.size(found), F.lit(0)).alias("n_lines"),
+        F.when(F.col("hosts"), F.size("places")).otherwise(F.lit(0)).alias("n_dropped"),
     )

@@ -144,11 +144,18 @@ def mix_sources(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row as often as the mix takes it, with the input's columns."""
-    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "mixing-docs")
-    taken = mix_sources(rows.select("doc_id", "text", "source", "_row"), **options)
+    """The mix itself: each row as often as the mix takes it, with the input's columns.
+
+    ``options`` are those of ``mix_sources``; a quality may use doc_id, text and source.
+    """
+    # Within a struct the input's columns cannot clash with those of the plan.
+    rows = stage(
+        docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")),
+        "mixing-docs",
+    )
+    taken = mix_sources(rows.select("doc.doc_id", "doc.text", "doc.source", "row"), **options)
     return (
-        rows.join(taken.where(F.col("copies") > 0).select("_row", "copies"), "_row")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-        .select(*docs.columns)
+        rows.join(taken.where(F.col("copies") > 0).select("row", "copies"), "row")
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        .select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
     )

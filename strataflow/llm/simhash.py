@@ -326,11 +326,16 @@ def drop_near_copies(docs: DataFrame, **options) -> DataFrame:
     group without any doc_id keeps one row. Columns are those of the input, whatever
     their names; an empty table stays empty.
     """
-    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-docs")
-    groups = near_groups(rows.select("doc_id", "text", "_row"), **options)
+    # Within a struct the input's columns cannot clash with those of the plan.
+    rows = stage(
+        docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")),
+        "simhash-docs",
+    )
+    groups = near_groups(rows.select("doc.doc_id", "doc.text", "row"), **options)
     best = groups.groupBy("root").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best")
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")
     )
-    return rows.join(best.select(F.col("best._row").alias("_row")), "_row", "left_semi").select(
-        *docs.columns
+    first = best.select(F.col("best.row").alias("row"))
+    return rows.join(first, "row", "left_semi").select(
+        *[F.col("doc").getField(c).alias(c) for c in docs.columns]
     )

@@ -116,7 +116,7 @@ def test_groups_match_brute_force(spark, docs):
 
 def test_one_document_of_a_group_stays(docs):
     base = " ".join(f"w{k}" for k in range(300))
-    rows = docs([(3, base), (2, base), (9, base + " extra"), (4, "else " * 9), (2, base), (None, "x y z")])
+    rows = docs([(3, base), (2, base), (9, base + " extra"), (4, "else " * 9), (2, base), (None, "x y z")]).withColumn("row", F.lit(1))
     kept = simhash.drop_near_copies(rows, size=3, budget=11, check_size=5, check_budget=14)
     assert kept.columns == rows.columns
     assert sorted((r.doc_id or 0, r.text[:4]) for r in kept.collect()) == [
