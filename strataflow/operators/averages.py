@@ -14,20 +14,40 @@ from strataflow.operators.enrich import drop_shared
 _WEIGHT = "_fact_rows"
 
 
+# Digits of an exact measure, and of a number of rows: their product has 38, the most there are.
+_DIGITS, _WEIGHT_DIGITS = 24, 13
+_MOST_SCALE = 12
+
+
+def _exact_mean(measure: Column, scale: int, weight: Column | None = None) -> Column:
+    """Mean of decimal sums; NaN where a measure of the group is not finite.
+
+    A value with more than ``24 - scale`` digits before the point ends the job.
+    """
+    if not 0 <= scale <= _MOST_SCALE:
+        raise ValueError(f"exact_scale must be from 0 to {_MOST_SCALE}, got {scale}")
+    value = measure.cast("double")
+    is_odd = F.isnan(value) | (F.abs(value) == float("inf"))
+    exact = F.when(~is_odd, measure).cast(f"decimal({_DIGITS},{scale})")
+    if weight is None:
+        total, rows = F.sum(exact), F.count(exact)
+    else:
+        total = F.sum(exact * weight.cast(f"decimal({_WEIGHT_DIGITS},0)"))
+        rows = F.sum(F.when(exact.isNotNull(), weight))
+    mean = F.try_divide(total.cast("double"), rows)
+    return F.when(F.max(is_odd), F.lit(float("nan"))).otherwise(mean)
+
+
 def average(
     measure: Column, digits: int | None = None, exact_scale: int | None = None
 ) -> Column:
     """Average of a measure.
 
     ``exact_scale`` sums as decimals of that many places, for a measure known to
-    have no more: the result then does not depend on the order of the rows.
-    ``digits`` rounds half up.
+    have no more: the result then does not depend on the order of the rows. A NaN or an
+    infinity in a group then makes its average NaN. ``digits`` rounds half up.
     """
-    if exact_scale is None:
-        mean = F.avg(measure)
-    else:
-        exact = measure.cast(f"decimal(18,{exact_scale})")
-        mean = F.try_divide(F.sum(exact).cast("double"), F.count(measure))
+    mean = F.avg(measure) if exact_scale is None else _exact_mean(measure, exact_scale)
     return mean if digits is None else F.round(mean, digits)
 
 
@@ -35,10 +55,10 @@ def _weighted_average(
     measure: Column, weight: Column, digits: int | None, exact_scale: int | None
 ) -> Column:
     if exact_scale is None:
-        total = F.sum(measure * weight)
+        rows = F.sum(F.when(measure.isNotNull(), weight))
+        mean = F.try_divide(F.sum(measure * weight), rows)
     else:
-        total = F.sum(measure.cast(f"decimal(18,{exact_scale})") * weight).cast("double")
-    mean = F.try_divide(total, F.sum(F.when(measure.isNotNull(), weight)))
+        mean = _exact_mean(measure, exact_scale, weight)
     return mean if digits is None else F.round(mean, digits)
 
 

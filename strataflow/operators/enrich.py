@@ -9,13 +9,6 @@ from pyspark.sql import Column, DataFrame
 SIDES = ("fact", "dim")
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Is the planner's size estimate within its own limit for broadcasts?"""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def drop_shared(
     fact: DataFrame, dim: DataFrame, key: str, shared_from: str = "fact"
 ) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,6 @@ from strataflow.functions.clock import (
     at_most_whole_seconds_old,
     seconds,
     stamp,
-    whole_seconds_between,
 )
 
 RESULT = "is_fresh"
@@ -26,9 +25,15 @@ def _now(df: DataFrame, ts: str, as_of: AsOf) -> Column:
 
 
 def newest_within(df: DataFrame, ts: str, max_age: int, as_of: AsOf = None) -> DataFrame:
-    """Is the newest row at most ``max_age`` whole seconds old? NULL for no rows."""
-    age = whole_seconds_between(F.max(ts), _now(df, ts, as_of))
-    return df.agg((age <= max_age).alias(RESULT))
+    """Is the newest row at most ``max_age`` whole seconds old? NULL for no rows.
+
+    A pushed-down filter finds a recent row and the scan skips the rest; whether there is
+    any row with a time is a second look that stops at the first.
+    """
+    recent = df.filter(at_most_whole_seconds_old(F.col(ts), _now(df, ts, as_of), max_age))
+    known = df.filter(F.col(ts).isNotNull()).select(F.lit(False).alias("found")).limit(1)
+    either = recent.select(F.lit(True).alias("found")).limit(1).unionByName(known)
+    return either.agg(F.max("found").alias(RESULT))
 
 
 def _flag(rows: DataFrame) -> DataFrame:
@@ -72,6 +77,9 @@ def any_recent(
     return rows.select(F.lit(1).alias("found")).limit(1)
 
 
-def latest_recent_row(df: DataFrame, ts: str, max_age: int, as_of: AsOf = None) -> DataFrame:
-    """The newest of the recent rows, if there is one."""
-    return _recent(df, ts, max_age, as_of).orderBy(F.col(ts).desc()).limit(1)
+def latest_recent_row(
+    df: DataFrame, ts: str, max_age: int, tie: str, as_of: AsOf = None
+) -> DataFrame:
+    """The newest of the recent rows, if there is one; of several the one with the largest ``tie``."""
+    rows = _recent(df, ts, max_age, as_of)
+    return rows.orderBy(F.col(ts).desc(), F.col(tie).desc_nulls_last()).limit(1)

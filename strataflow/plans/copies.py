@@ -11,10 +11,14 @@ from pyspark.sql.types import StructType
 from strataflow.functions.clock import AsOf
 from strataflow.operators.numbering import number_rows
 from strataflow.operators.reconcile import count_mismatch
-from strataflow.operators.upsert import upsert_counter
+from strataflow.operators.upsert import HITS, count_hits, upsert_counter
 from strataflow.session import scratch_path
-from strataflow.sinks.layers import write_layer
-from strataflow.sinks.snapshots import current_snapshot, read_snapshot, write_snapshot
+from strataflow.sinks.snapshots import (
+    current_snapshot,
+    read_snapshot,
+    remove_path,
+    write_snapshot,
+)
 
 
 def create_if_absent(spark: SparkSession, root: str, schema: StructType | str) -> None:
@@ -33,29 +37,51 @@ def refresh_copy(original: DataFrame, root: str) -> bool:
     return differs
 
 
-def apply_hits(hits: DataFrame, root: str, keys: Sequence[str], as_of: AsOf = None) -> None:
+def apply_hits(
+    hits: DataFrame,
+    root: str,
+    keys: Sequence[str],
+    as_of: AsOf = None,
+    batch_id: int | None = None,
+) -> None:
     """Raise the counters stored at ``root`` by the hits, as a new version.
 
-    A table with an ``id`` column numbers its new counters in the order of the keys.
+    The hits are counted by key once; stored rows and counts then meet in one grouping,
+    which is written once. A table with an ``id`` column numbers its new counters in the
+    order of the keys: only the keys that it lacks are numbered. If another writer
+    replaces the table meanwhile, ``SnapshotConflict`` is raised and no hit is lost.
+
+    A ``batch_id``, 1 or more and rising, makes a batch count once: one that the table
+    already has changes nothing. A table takes batches either with ids or without.
     """
-    stored = read_snapshot(hits.sparkSession, root)
-    merged = upsert_counter(stored, hits, keys, as_of)
-    write_snapshot(_numbered(merged, keys) if "id" in stored.columns else merged, root)
-
-
-def _numbered(merged: DataFrame, keys: Sequence[str]) -> DataFrame:
-    spark = merged.sparkSession
-    # Written once, so that the merge does not run again for each use of it.
-    staged = scratch_path(spark, "merged")
-    write_layer(merged, staged)
-    merged = spark.read.parquet(staged)
-    seen = merged.agg(
-        F.coalesce(F.max("id"), F.lit(0)).alias("last"), F.count_if(F.col("id").isNull()).alias("new")
-    ).first()
-    if seen["new"] == 0:
-        return merged
-    new = merged.filter(F.col("id").isNull()).drop("id")
-    numbered = number_rows(
-        new, keys, scratch_path(spark, "numbering"), seen["last"] + 1, unique=True
-    )
-    return merged.filter(F.col("id").isNotNull()).unionByName(numbered)
+    spark = hits.sparkSession
+    current = current_snapshot(spark, root)
+    if batch_id is not None and current is not None and batch_id <= current:
+        return
+    stored = read_snapshot(spark, root)
+    staging = scratch_path(spark, "hits")
+    try:
+        counted = count_hits(hits, keys)
+        if "id" in stored.columns:
+            counted = _with_new_ids(stored, counted, keys, staging)
+        merged = upsert_counter(stored, counted, keys, as_of, hit_count=HITS)
+        if batch_id is None:
+            write_snapshot(merged, root, after=current)
+        else:
+            write_snapshot(merged, root, number=batch_id)
+    finally:
+        remove_path(spark, staging)
+
+
+def _with_new_ids(
+    stored: DataFrame, counted: DataFrame, keys: Sequence[str], staging: str
+) -> DataFrame:
+    """Counted hits, those of new keys with ids that go on after the largest one."""
+    spark = stored.sparkSession
+    counted.write.parquet(f"{staging}/counted")
+    counted = spark.read.parquet(f"{staging}/counted")
+    last = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("last")).first()["last"]
+    # A NULL key is no new counter: the grouping refuses it.
+    new = counted.select(*keys).na.drop().join(stored.select(*keys), list(keys), "left_anti")
+    numbered = number_rows(new, keys, f"{staging}/numbering", last + 1, unique=True)
+    return counted.join(numbered, list(keys), "left")

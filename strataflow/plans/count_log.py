@@ -13,6 +13,12 @@ from strataflow.operators.counts import category_counts
 from strataflow.operators.freshness import newest_within_flag
 from strataflow.operators.numbering import number_rows
 from strataflow.sinks.layers import append_rows
+from strataflow.sinks.snapshots import (
+    current_snapshot,
+    read_snapshot,
+    remove_path,
+    write_snapshot,
+)
 
 
 def log_counts(
@@ -47,8 +53,17 @@ def log_and_check(
     return newest_within_flag(spark.read.parquet(log), "created_at", max_age, checked_at)
 
 
+def _sidecar(log: str) -> str:
+    return f"{log.rstrip('/')}_last_id"
+
+
 def last_id(spark: SparkSession, log: str) -> int:
-    """Largest id of a log, 0 where the log is absent or empty."""
+    """Largest id given out for a log, 0 where the log is absent or empty.
+
+    It is one row beside the log; a log that was filled without it is read once.
+    """
+    if current_snapshot(spark, _sidecar(log)) is not None:
+        return read_snapshot(spark, _sidecar(log)).first()["last"]
     try:
         rows = spark.read.parquet(log)
     except AnalysisException as error:
@@ -61,9 +76,19 @@ def last_id(spark: SparkSession, log: str) -> int:
 def append_numbered(
     rows: DataFrame, log: str, order_by: Sequence[str], staging: str, unique: bool = False
 ) -> None:
-    """Append rows with ids that go on after the log's last one; one writer at a time.
+    """Append rows with ids that go on after the log's last one.
 
-    ``unique`` says that no two rows share their place in the order.
+    ``unique`` says that no two rows share their place in the order. The ids are reserved
+    beside the log before they are used: a lost job leaves a gap, never an id twice, and
+    of two writers at the same time one is refused. ``staging`` is emptied at the end.
     """
-    start = last_id(rows.sparkSession, log) + 1
-    append_rows(number_rows(rows, order_by, staging, start, unique=unique), log)
+    spark = rows.sparkSession
+    try:
+        before = current_snapshot(spark, _sidecar(log))
+        start = last_id(spark, log) + 1
+        numbered = number_rows(rows, order_by, staging, start, unique=unique)
+        last = spark.createDataFrame([(start + numbered.count() - 1,)], "last long")
+        write_snapshot(last, _sidecar(log), after=before if before is not None else -1)
+        append_rows(numbered, log)
+    finally:
+        remove_path(spark, staging)

@@ -26,8 +26,8 @@ from strataflow.operators.cleaning import (
     measured_rows,
     normalise_text,
 )
-from strataflow.sinks.layers import write_layer
-from strataflow.sources.files import scan_csv, scan_parquet
+from strataflow.sinks.layers import read_layer, write_layer
+from strataflow.sources.files import scan_csv
 from strataflow.sources.tables import require_table
 
 # Table and column names of the data model.
@@ -42,7 +42,8 @@ class Recipe:
     """Choices in which medallion jobs differ.
 
     ``types``: CSV scan, ``strings``, ``infer`` or a schema per table, which spares
-    large input the extra pass of ``infer``. ``clean``: options of
+    large input the extra pass of ``infer``. ``csv``: options of the CSV reader, such as
+    ``multiLine`` and ``escape`` for line breaks and quotes within quotes. ``clean``: options of
     ``clean_text``, or None to trim and lower-case instead. ``only``: columns to
     clean per table, all string columns by default. ``distinct``: drop copies in
     silver. ``country_from``: the side whose country counts. ``measure``: options
@@ -53,6 +54,7 @@ class Recipe:
     """
 
     types: str | Mapping[str, StructType] = "strings"
+    csv: Mapping[str, str] = field(default_factory=dict)
     clean: Mapping[str, Any] | None = field(default_factory=dict)
     only: Mapping[str, tuple[str, ...]] | None = None
     distinct: bool = True
@@ -125,7 +127,7 @@ def ingest(
 ) -> None:
     """CSV file to bronze parquet."""
     types = recipe.types if isinstance(recipe.types, str) else recipe.types[table]
-    write_layer(scan_csv(spark, landing, types, separator), bronze)
+    write_layer(scan_csv(spark, landing, types, separator, **recipe.csv), bronze)
 
 
 def refined(df: DataFrame, table: str, recipe: Recipe) -> DataFrame:
@@ -144,7 +146,7 @@ def refined(df: DataFrame, table: str, recipe: Recipe) -> DataFrame:
 
 def refine(spark: SparkSession, bronze: str, silver: str, table: str, recipe: Recipe) -> None:
     """Bronze parquet to silver parquet."""
-    write_layer(refined(scan_parquet(spark, bronze), table, recipe), silver)
+    write_layer(refined(read_layer(spark, bronze), table, recipe), silver)
 
 
 def averaged(
@@ -188,7 +190,7 @@ def aggregate(
     ts_type: str = "timestamp",
 ) -> None:
     """Silver parquet of both tables to gold parquet."""
-    fact, dim = scan_parquet(spark, silver_fact), scan_parquet(spark, silver_dim)
+    fact, dim = read_layer(spark, silver_fact), read_layer(spark, silver_dim)
     write_layer(averaged(fact, dim, recipe, as_of, ts_type), gold)
 
 

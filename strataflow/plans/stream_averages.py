@@ -36,20 +36,20 @@ def enriched_averages(
     sentinels: Sequence[str] = (),
     shared_from: str = "fact",
     measured_only: bool = False,
-    salts: int | None = None,
+    hot: Sequence[Any] = (),
     **averages: Any,
 ) -> DataFrame:
     """Averages over a stream of messages, whatever source they come from.
 
     Messages without a key are dropped. ``category`` names a column whose missing
-    labels are filled. ``averages`` are options of ``running_averages``.
+    labels are filled. ``hot`` keys are dealt out, see ``enrich_stream``. ``averages`` are options of ``running_averages``.
     """
     rows = decode_rows(messages, schema, required=key)
     if category is not None:
         rows = rows.withColumn(category, fill_label(F.col(category), sentinels=sentinels))
     if measured_only:
         dim = measured_rows(dim, *measures.values())
-    enriched = enrich_stream(rows, dim, key, shared_from, salts)
+    enriched = enrich_stream(rows, dim, key, shared_from, hot)
     return running_averages(enriched, groups, measures, **averages)
 
 

@@ -18,7 +18,10 @@ from strataflow.queries.registry import query
 
 AS_OF = datetime(2024, 2, 1)
 CLOCK = {"as_of": AS_OF, "ts_type": "timestamp_ntz"}
-BALANCE = {"balance": "c_acctbal"}
+# A few measures are no finite numbers.
+BALANCE = """CASE WHEN c_custkey % 499 = 3 THEN cast('NaN' AS double)
+     WHEN c_custkey % 503 = 4 THEN cast('-Infinity' AS double) ELSE c_acctbal END"""
+_FINITE = "CASE WHEN isfinite(balance) THEN try_cast(balance AS decimal(18, 2)) END"
 
 BASIC_LABEL = "CASE WHEN medal IS NULL OR medal = '' THEN 'No medal' ELSE medal END"
 SENTINEL_LABEL = (
@@ -134,26 +137,37 @@ def avg_stats_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "avg_stats_rounded",
-    _sql(
-        "d", SENTINEL_LABEL, _MEASURED,
-        "cast(round(cast(avg({0}) AS decimal(28, 10)), 2) AS double)",
-    ),
-)
+@query("avg_stats_rounded", f"""
+    SELECT sport, {SENTINEL_LABEL} AS medal, sex, d.country_noc,
+           cast(round(cast(avg(weight) AS decimal(28, 10)), 2) AS double) AS avg_weight,
+           cast(round(cast(cast(sum(cast(balance AS decimal(18, 2))) AS double) / count(balance)
+                           AS decimal(28, 10)), 2) AS double) AS avg_balance,
+           TIMESTAMP '{AS_OF}' AS "timestamp"
+    FROM ({FACT_SQL}) AS f
+    JOIN (SELECT athlete_id, sex, country_noc, {_number('weight')} AS weight, c_acctbal AS balance
+          FROM ({DIM_SQL}) JOIN customer ON c_custkey = athlete_id) AS d USING (athlete_id)
+    WHERE weight IS NOT NULL AND balance IS NOT NULL
+    GROUP BY sport, {SENTINEL_LABEL}, sex, d.country_noc""")
 def avg_stats_rounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounded averages of measures with one decimal and with two."""
     fact = results(spark, sf_dir).withColumn(
         "medal", fill_label(F.col("medal"), sentinels=MISSING_WORDS)
     )
+    people = map_columns(
+        athletes(spark, sf_dir, balance="c_acctbal"),
+        lambda c: to_measure(c, decimal_comma=True),
+        ["weight"],
+    )
     return grouped_averages(
         fact,
-        _people(spark, sf_dir),
+        people,
         KEY,
         GROUPS,
-        MEASURES,
+        {"avg_weight": "weight", "avg_balance": "balance"},
         shared_from="dim",
         measured_only=True,
         digits=2,
+        exact_scale=2,
         **CLOCK,
     )
 
@@ -166,23 +180,42 @@ def avg_stats_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_averages(fact, _people(spark, sf_dir), KEY, GROUPS, MEASURES, **CLOCK)
 
 
-@query("avg_stats_exact", f"""
-    SELECT sport, sex, cast(sum(cast(balance AS decimal(18, 2))) AS double) / count(balance)
-           AS avg_balance
+_EXACT_SQL = f"""
+    SELECT sport, sex, f.country_noc, bool_or(NOT isfinite(balance)) AS poisoned,
+           CASE WHEN NOT bool_or(NOT isfinite(balance))
+                THEN cast(sum({_FINITE}) AS double) / count({_FINITE}) END AS avg_balance
     FROM ({FACT_SQL}) AS f
-    JOIN (SELECT c_custkey AS athlete_id, c_mktsegment AS sex, c_acctbal AS balance
+    JOIN (SELECT c_custkey AS athlete_id, c_mktsegment AS sex, {BALANCE} AS balance
           FROM customer) AS d USING (athlete_id)
-    GROUP BY sport, sex""")
-def avg_stats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grouped_averages(
+    GROUP BY sport, sex, f.country_noc"""
+
+
+def _exact(spark: SparkSession, sf_dir: str, fold: bool) -> DataFrame:
+    stats = grouped_averages(
         results(spark, sf_dir),
-        athletes(spark, sf_dir, **BALANCE),
+        athletes(spark, sf_dir, balance=BALANCE),
         KEY,
-        ("sport", "sex"),
+        ("sport", "sex", "country_noc"),
         {"avg_balance": "balance"},
         exact_scale=2,
+        fold_fact=fold,
         stamp_column=None,
     )
+    odd = F.isnan("avg_balance")
+    return stats.withColumn("poisoned", odd).withColumn(
+        "avg_balance", F.when(~odd, F.col("avg_balance"))
+    )
+
+
+@query("avg_stats_exact", _EXACT_SQL)
+def avg_stats_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sums of decimals; one measure that is not finite makes its group's average NaN."""
+    return _exact(spark, sf_dir, fold=False)
+
+
+@query("avg_stats_exact_folded", _EXACT_SQL)
+def avg_stats_exact_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exact(spark, sf_dir, fold=True)
 
 
 @query("avg_stats_nan", f"""

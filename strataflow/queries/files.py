@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from strataflow.queries.inputs import DIM_SQL, athletes
 from strataflow.queries.registry import query, table
 from strataflow.session import scratch_path
-from strataflow.sinks.layers import write_layer, write_profiled
+from strataflow.sinks.layers import read_layer, write_layer, write_profiled
 from strataflow.sources.files import scan_csv, scan_parquet
 
 
@@ -41,11 +41,17 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, path, types="infer", separator=";")
 
 
+@query("parquet_scan", "SELECT * FROM orders")
+def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_parquet(spark, f"{sf_dir}/orders.parquet")
+
+
 @query(
-    "parquet_scan",
+    "parquet_scan_pruned",
     "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'",
 )
-def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def parquet_scan_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns and a filter, which reach the scan."""
     orders = scan_parquet(spark, f"{sf_dir}/orders.parquet")
     return orders.select("o_orderkey", "o_custkey", "o_orderstatus").filter("o_orderstatus = 'F'")
 
@@ -58,7 +64,7 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "bronze")
     write_layer(table(spark, sf_dir, "customer"), path)
     write_layer(table(spark, sf_dir, "customer"), path)
-    return scan_parquet(spark, path)
+    return read_layer(spark, path)
 
 
 @query("layer_profile", f"""

@@ -75,7 +75,7 @@ def freshness_exists_whole_seconds(spark: SparkSession, sf_dir: str) -> DataFram
     "freshness_latest_row",
     f"""SELECT event_id, ts, user_id, event_type, value, props FROM events
         WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL {DAY} SECOND
-        ORDER BY ts DESC LIMIT 1""",
+        ORDER BY ts DESC, event_id DESC LIMIT 1""",
 )
 def freshness_latest_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return freshness.latest_recent_row(_events(spark, sf_dir), "ts", DAY, AS_OF)
+    return freshness.latest_recent_row(_events(spark, sf_dir), "ts", DAY, "event_id", AS_OF)

@@ -11,6 +11,7 @@ from strataflow.queries.files import write_csv
 from strataflow.queries.inputs import DIM_SQL, FACT_SQL, athletes, results
 from strataflow.queries.registry import Query, query
 from strataflow.session import scratch_path
+from strataflow.sinks.layers import read_layer
 
 AS_OF = datetime(2024, 2, 1)
 
@@ -101,7 +102,7 @@ def _run(recipe: Recipe) -> Query:
         write_csv(results(spark, sf_dir), f"{landing}/{FACT}")
         write_csv(athletes(spark, sf_dir), f"{landing}/{DIMENSION}")
         gold = run_medallion(spark, landing, lake, recipe, AS_OF, "timestamp_ntz")
-        return spark.read.parquet(gold)
+        return read_layer(spark, gold)
 
     return run
 

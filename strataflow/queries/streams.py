@@ -16,14 +16,14 @@ from strataflow.queries.inputs import DIM_COLUMNS, athletes
 from strataflow.queries.registry import query, table
 from strataflow.session import scratch_path
 from strataflow.sinks.snapshots import read_snapshot
-from strataflow.streaming.enrich import enrich_stream
+from strataflow.streaming.enrich import enrich_stream, hot_keys
 from strataflow.streaming.run import start_append
 from strataflow.streaming.sinks import message_file_sink, table_sink
 from strataflow.streaming.sources import stream_message_files
 
 AS_OF = datetime(2024, 2, 1)
 HALF = "2024-01-16"
-ROW = "athlete_id bigint, sport string, medal string, result_id bigint"
+ROW = "athlete_id bigint, sport string, medal string, result_id bigint, country_noc string"
 GROUPS = ("sport", "medal", "sex", "country_noc")
 AVERAGES = {"avg_weight": "weight", "avg_balance": "balance"}
 
@@ -33,22 +33,44 @@ MESSAGE_COLUMNS = {
     "medal": """CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'None'
         WHEN 3 THEN 'Gold' ELSE 'Silver' END""",
     "result_id": "event_id",
+    "country_noc": "concat('NOC-', cast(event_id % 7 AS varchar(9)))",
 }
+# A few measures are no finite numbers.
+BALANCE = """CASE WHEN c_custkey % 211 = 5 THEN cast('NaN' AS double)
+     WHEN c_custkey % 223 = 7 THEN cast('Infinity' AS double) ELSE c_acctbal END"""
 _EVENT_SQL = f"""
     SELECT {', '.join(f'{e} AS {n}' for n, e in MESSAGE_COLUMNS.items())}
     FROM events"""
 _DIM_SQL = f"""
-    SELECT c_custkey AS athlete_id, c_mktsegment AS sex, c_acctbal AS balance,
+    SELECT c_custkey AS athlete_id, c_mktsegment AS sex, {BALANCE} AS balance,
            {DIM_COLUMNS['country_noc']} AS country_noc,
            try_cast({DIM_COLUMNS['weight']} AS double) AS weight
     FROM customer"""
 _LABEL = "CASE WHEN medal IS NULL OR medal = '' THEN 'No medal' ELSE medal END"
-_STATS_SQL = f"""
-    SELECT sport, {_LABEL} AS medal, sex, country_noc,
-           cast(sum(cast(weight AS decimal(18, 2))) AS double) / count(weight) AS avg_weight,
-           cast(sum(cast(balance AS decimal(18, 2))) AS double) / count(balance) AS avg_balance
-    FROM ({_EVENT_SQL}) JOIN ({_DIM_SQL}) USING (athlete_id)
-    GROUP BY sport, {_LABEL}, sex, country_noc"""
+_FINITE = "CASE WHEN isfinite(balance) THEN try_cast(balance AS decimal(18, 2)) END"
+
+
+def _stats_sql(medal: str = _LABEL, country: str = "d", where: str = "true") -> str:
+    return f"""
+        SELECT sport, {medal} AS medal, sex, {country}.country_noc,
+               cast(sum(cast(weight AS decimal(18, 2))) AS double) / count(weight) AS avg_weight,
+               CASE WHEN NOT coalesce(bool_or(NOT isfinite(balance)), false)
+                    THEN cast(sum({_FINITE}) AS double) / count({_FINITE}) END AS avg_balance,
+               coalesce(bool_or(NOT isfinite(balance)), false) AS poisoned
+        FROM ({_EVENT_SQL}) AS f JOIN ({_DIM_SQL}) AS d USING (athlete_id)
+        WHERE {where}
+        GROUP BY sport, {medal}, sex, {country}.country_noc"""
+
+
+_STATS_SQL = _stats_sql()
+
+
+def _told(stats: DataFrame) -> DataFrame:
+    """Averages that are not a number as a flag."""
+    odd = F.coalesce(F.isnan("avg_balance"), F.lit(False))
+    return stats.withColumn("poisoned", odd).withColumn(
+        "avg_balance", F.when(~odd, F.col("avg_balance"))
+    )
 
 
 def publish(events: DataFrame, path: str) -> None:
@@ -70,9 +92,8 @@ def publish(events: DataFrame, path: str) -> None:
     messages.write.mode("append").partitionBy("week").parquet(path)
 
 
-def _messages(spark: SparkSession, path: str) -> DataFrame:
-    """The message files as a stream; the rate cap follows the size of the cluster."""
-    cap = max(1, spark.sparkContext.defaultParallelism // 4)
+def _messages(spark: SparkSession, path: str, cap: int = 2) -> DataFrame:
+    """The message files as a stream, ``cap`` files a batch, so that there are several batches."""
     return stream_message_files(spark, path, cap)
 
 
@@ -81,7 +102,7 @@ def _rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    people = athletes(spark, sf_dir, balance="c_acctbal")
+    people = athletes(spark, sf_dir, balance=BALANCE)
     return map_columns(people, to_measure, ["weight"]).select(
         "athlete_id", "sex", "country_noc", "weight", "balance"
     )
@@ -95,11 +116,10 @@ def _averages(spark: SparkSession, sf_dir: str, path: str, **options: Any) -> Da
         "athlete_id",
         GROUPS,
         AVERAGES,
-        category="medal",
         exact_scale=2,
         as_of=AS_OF,
         ts_type="timestamp_ntz",
-        **options,
+        **{"category": "medal", "shared_from": "dim", **options},
     )
 
 
@@ -117,39 +137,68 @@ def stream_source_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("stream_enrich", f"""
-    SELECT athlete_id, sport, medal, result_id, sex, country_noc, weight, balance
-    FROM ({_EVENT_SQL}) JOIN ({_DIM_SQL}) USING (athlete_id)""")
+    SELECT athlete_id, sport, medal, result_id, sex, f.country_noc, weight,
+           CASE WHEN isfinite(balance) THEN balance END AS balance
+    FROM ({_EVENT_SQL}) AS f JOIN ({_DIM_SQL}) AS d USING (athlete_id)""")
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The busiest user's rows, if they are a twentieth of all, are dealt out."""
     rows, out = _rows(spark, _published(spark, sf_dir)), scratch_path(spark, "enriched")
-    enriched = enrich_stream(rows, _people(spark, sf_dir), "athlete_id")
+    hot = hot_keys(table(spark, sf_dir, "events"), "user_id")
+    enriched = enrich_stream(rows, _people(spark, sf_dir), "athlete_id", hot=hot)
     start_append(enriched, out, scratch_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.parquet(out)
+    finite = ~F.isnan("balance") & (F.abs("balance") < float("inf"))
+    return spark.read.parquet(out).withColumn("balance", F.when(finite, F.col("balance")))
 
 
-@query("stream_avg_complete", f"SELECT *, TIMESTAMP '{AS_OF}' AS \"timestamp\" FROM ({_STATS_SQL})")
-def stream_avg_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats, out = _averages(spark, sf_dir, _published(spark, sf_dir)), scratch_path(spark, "stats")
+def _finished(spark: SparkSession, stats: DataFrame) -> DataFrame:
+    out = scratch_path(spark, "stats")
     start_averages(stats, [table_sink(out)], scratch_path(spark, "checkpoint")).awaitTermination()
-    return read_snapshot(spark, out)
+    return _told(read_snapshot(spark, out))
+
+
+def _stamped(sql: str) -> str:
+    return f"SELECT *, TIMESTAMP '{AS_OF}' AS \"timestamp\" FROM ({sql})"
+
+
+@query("stream_avg_complete", _stamped(_STATS_SQL))
+def stream_avg_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _finished(spark, _averages(spark, sf_dir, _published(spark, sf_dir)))
+
+
+@query("stream_avg_measured_fact", _stamped(_stats_sql("medal", "f", "weight IS NOT NULL")))
+def stream_avg_measured_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measured athletes only; the country is that of the result, medals stay as they are."""
+    topic = _published(spark, sf_dir)
+    stats = _averages(
+        spark, sf_dir, topic, measured_only=True, shared_from="fact", category=None
+    )
+    return _finished(spark, stats)
+
+
+@query("stream_avg_measured_dim", _stamped(_stats_sql(where="weight IS NOT NULL")))
+def stream_avg_measured_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measured athletes only; the country is the athlete's, missing medals are filled."""
+    topic = _published(spark, sf_dir)
+    return _finished(spark, _averages(spark, sf_dir, topic, measured_only=True))
 
 
-@query("stream_fanout", f"SELECT *, 2 AS sinks FROM ({_STATS_SQL})")
+@query("stream_fanout", f"SELECT *, 2 AS sinks FROM ({_stamped(_STATS_SQL)})")
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both sinks of the fan-out, matched row by row."""
-    stats = _averages(spark, sf_dir, _published(spark, sf_dir), stamp_column=None)
+    """Both sinks of the fan-out, time stamp included, matched row by row."""
+    stats = _averages(spark, sf_dir, _published(spark, sf_dir))
     rows, messages = scratch_path(spark, "stats"), scratch_path(spark, "stats-topic")
     sinks = [table_sink(rows), message_file_sink(messages)]
     start_averages(stats, sinks, scratch_path(spark, "checkpoint")).awaitTermination()
     stored = read_snapshot(spark, rows)
     sent = decode_rows(read_snapshot(spark, messages, "text"), stored.schema)
-    return (
+    return _told(
         stored.unionByName(sent)
         .groupBy(*stored.columns)
         .agg(F.count(F.lit(1)).cast("int").alias("sinks"))
     )
 
 
-@query("stream_resume", f"SELECT *, TIMESTAMP '{AS_OF}' AS \"timestamp\" FROM ({_STATS_SQL})")
+@query("stream_resume", _stamped(_STATS_SQL))
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three starts on one checkpoint: half of the messages, the other half, nothing new."""
     events, topic = table(spark, sf_dir, "events"), scratch_path(spark, "topic")
@@ -160,4 +209,4 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
             publish(events.filter(part), topic)
         stats = _averages(spark, sf_dir, topic)
         start_averages(stats, [table_sink(out)], checkpoint).awaitTermination()
-    return read_snapshot(spark, out)
+    return _told(read_snapshot(spark, out))

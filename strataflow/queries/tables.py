@@ -12,6 +12,7 @@ from strataflow.plans.copies import apply_hits, create_if_absent, refresh_copy
 from strataflow.queries.registry import query, table
 from strataflow.session import scratch_path
 from strataflow.sinks.snapshots import read_snapshot
+from strataflow.sources.tables import GAMES
 
 FIRST, SECOND = datetime(2024, 2, 1), datetime(2024, 2, 2)
 SPLIT = "1997-01-01"
@@ -22,15 +23,32 @@ COUNTERS = (
 )
 
 
-@query(
-    "games_copy_refresh",
-    "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
-)
+# The games table, filled from the customers.
+GAMES_COLUMNS = {
+    "edition": "c_name",
+    "edition_id": "cast(c_custkey AS int)",
+    "edition_url": "concat('/editions/', cast(c_custkey AS varchar(9)))",
+    "year": "cast(1896 + 4 * (c_custkey % 33) AS int)",
+    "city": "c_mktsegment",
+    "country_flag_url": "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat('/flags/', cast(c_nationkey AS varchar(9))) END",
+    "country_noc": "concat('NATION_', cast(c_nationkey AS varchar(9)))",
+    "start_date": "concat(cast(c_custkey % 28 + 1 AS varchar(9)), ' July')",
+    "end_date": "CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE '30 August' END",
+    "competition_date": "'1 - 16 August'",
+    "isHeld": "CASE WHEN c_custkey % 40 = 0 THEN 'Not held' ELSE NULL END",
+}
+_GAMES = [f"{expression} AS {name}" for name, expression in GAMES_COLUMNS.items()]
+
+
+@query("games_copy_refresh", f"SELECT {', '.join(_GAMES)} FROM customer")
 def games_copy_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An absent copy is created empty and loaded; with equal counts it is left alone."""
-    original, copy = table(spark, sf_dir, "customer"), scratch_path(spark, "copy")
-    refresh_copy(original, copy)
-    refresh_copy(original, copy)
+    """An absent copy is created empty, loaded in two steps as the original grows, then left."""
+    games = table(spark, sf_dir, "customer").selectExpr(*_GAMES)
+    copy = scratch_path(spark, "copy")
+    create_if_absent(spark, copy, GAMES)
+    refresh_copy(games.filter("edition_id % 2 = 0"), copy)
+    refresh_copy(games, copy)
+    refresh_copy(games, copy)
     return read_snapshot(spark, copy)
 
 

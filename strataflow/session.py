@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -17,6 +18,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Where the join key is a group too, the aggregate reuses the join's partitioning:
+    # splitting a hot key then costs one more shuffle and is worth it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     # Running averages keep one state row per group; RocksDB holds them off-heap.
     "spark.sql.streaming.stateStore.providerClass": (
@@ -44,12 +48,16 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for staged data and streaming checkpoints.
 
     The cluster names it in ``spark.checkpoint.dir``. A temporary folder is used
-    only for a local master, where driver and executors are one process.
+    only for a local master, where driver and executors are one process; ``local-cluster``
+    starts others. On a cluster a folder directly in the machine's /tmp is refused.
     """
     configured = spark.conf.get(SCRATCH_SETTING, None)
+    one_process = re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", ""))
     if configured:
+        if not one_process and re.match(r"(file:/*)?/(tmp|var/tmp)(/[^/]*)?/?$", configured):
+            raise RuntimeError(f"{SCRATCH_SETTING} is a machine's own folder: {configured}")
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not one_process:
         raise RuntimeError(f"set {SCRATCH_SETTING} to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_scratch:

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from strataflow.sinks.snapshots import RETAIN, read_snapshot, write_snapshot
 
-def write_layer(df: DataFrame, path: str) -> None:
-    """Replace the table at ``path``. Spark refuses a path that ``df`` still reads."""
-    df.write.mode("overwrite").parquet(path)
+
+def write_layer(df: DataFrame, path: str, retain: float = RETAIN) -> None:
+    """Replace the table at ``path`` with a new version, also while ``df`` reads it.
+
+    Until the new version is complete, and if its job is lost, readers have the old one.
+    """
+    write_snapshot(df, path, retain=retain)
+
+
+def read_layer(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a layer."""
+    return read_snapshot(spark, path)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -4,25 +4,46 @@ Parquet has no transactional replace, and a job cannot overwrite the files it
 reads. Each write therefore goes to a new folder ``snapshot=<n>`` and counts only
 once its ``_SUCCESS`` marker is there: readers see the old or the new version,
 never a mixture, and a lost job leaves the old one in place. No data is renamed,
-which would be a copy on object stores.
+which would be a copy on object stores. A writer first claims its number by creating a
+file that must not exist; where the store makes that atomic, two writers never share one.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 PREFIX = "snapshot="
 MARKER = "_SUCCESS"
+CLAIMS = "_claims"
+#: Seconds for which a superseded version, or an unfinished one, is left for its readers or writer.
+RETAIN = 24 * 3600.0
+
+
+class SnapshotConflict(RuntimeError):
+    """Another writer has the version that this one would write."""
+
+
+def _path(spark: SparkSession, text: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(text)
 
 
-def _folder(spark: SparkSession, root: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+def _files(spark: SparkSession, path):
+    """The file system of a path. Spark has no public call that creates or deletes a file."""
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there: staged data that is no longer needed."""
+    place = _path(spark, path)
+    _files(spark, place).delete(place, True)
 
 
 def _numbers(spark: SparkSession, root: str, finished: bool) -> list[int]:
-    files, path = _folder(spark, root)
+    path = _path(spark, root)
+    files = _files(spark, path)
     if not files.exists(path):
         return []
     found = []
@@ -30,12 +51,39 @@ def _numbers(spark: SparkSession, root: str, finished: bool) -> list[int]:
         name = status.getPath().getName()
         if not name.startswith(PREFIX):
             continue
-        marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), MARKER)
+        marker = _path(spark, f"{status.getPath().toString()}/{MARKER}")
         if not finished or files.exists(marker):
             found.append(int(name[len(PREFIX) :]))
     return sorted(found)
 
 
+def _claimed(spark: SparkSession, root: str) -> list[int]:
+    path = _path(spark, f"{root}/{CLAIMS}")
+    files = _files(spark, path)
+    if not files.exists(path):
+        return []
+    return [int(status.getPath().getName()) for status in files.listStatus(path)]
+
+
+def _claim(spark: SparkSession, root: str, number: int) -> None:
+    path = _path(spark, f"{root}/{CLAIMS}/{number}")
+    try:
+        _files(spark, path).create(path, False).close()
+    except Exception as error:
+        if _files(spark, path).exists(path):
+            raise SnapshotConflict(f"version {number} of {root} is being written") from error
+        raise
+
+
+def _age(spark: SparkSession, path: str) -> float | None:
+    """Seconds since a file was made, None if it is not there."""
+    place = _path(spark, path)
+    files = _files(spark, place)
+    if not files.exists(place):
+        return None
+    return time.time() - files.getFileStatus(place).getModificationTime() / 1000
+
+
 def current_snapshot(spark: SparkSession, root: str) -> int | None:
     """Number of the newest complete version, None for an absent table."""
     numbers = _numbers(spark, root, finished=True)
@@ -55,31 +103,69 @@ def read_snapshot(spark: SparkSession, root: str, form: str = "parquet") -> Data
 
 
 def write_snapshot(
-    df: DataFrame, root: str, number: int | None = None, form: str = "parquet", keep: int = 2
+    df: DataFrame,
+    root: str,
+    number: int | None = None,
+    form: str = "parquet",
+    retain: float = RETAIN,
+    after: int | None = None,
 ) -> int:
-    """Write a new version and drop all but the newest ``keep`` complete ones.
+    """Write a new version; returns its number.
 
-    A given ``number`` (a micro-batch id) is overwritten, so a retried batch leaves
-    one copy; one below the current version is refused, as nobody would read it (a
-    stream with a new checkpoint needs a new root). Otherwise the next free number
-    is taken, and of two writers racing for it one fails.
+    Without a ``number`` the next free one is claimed. With ``after``, the version that
+    the rows were made from (-1: none), the new one has to be the next: if another writer has
+    claimed that, ``SnapshotConflict`` is raised and nothing is lost. A claim that has not
+    become a version within ``retain`` seconds is one of a lost job and is passed over.
+
+    A given ``number`` (a micro-batch id) belongs to one writer. If that version is
+    complete, a retry changes nothing; if not, it is written anew, unseen by readers. One
+    below the current version is refused, as nobody would read it (a stream with a new
+    checkpoint needs a new root).
     """
     spark = df.sparkSession
-    mode = "overwrite"
-    if number is None:
-        number = max(_numbers(spark, root, finished=False), default=-1) + 1
+    current = current_snapshot(spark, root)
+    if number is not None:
+        if number < (current or 0):
+            raise ValueError(f"snapshot {number} is older than the current one under {root}")
+        if number == current:
+            return number
+        mode = "overwrite"
+    else:
+        taken = {*_claimed(spark, root), *_numbers(spark, root, finished=False)}
+        if after is None:
+            number = max(taken, default=-1) + 1
+        else:
+            if (-1 if current is None else current) != after:
+                raise SnapshotConflict(f"{root} moved on from version {after} to {current}")
+            number = after + 1
+            while number in taken and (_age(spark, f"{root}/{CLAIMS}/{number}") or 0) > retain:
+                number += 1
+        _claim(spark, root, number)
         mode = "errorifexists"
-    elif number < (current_snapshot(spark, root) or 0):
-        raise ValueError(f"snapshot {number} is older than the current one under {root}")
-    df.write.mode(mode).format(form).save(snapshot_path(root, number))
-    drop_old_snapshots(spark, root, keep)
+    try:
+        df.write.mode(mode).format(form).save(snapshot_path(root, number))
+    except BaseException:
+        # The writer is alive and gives the number up itself.
+        if mode == "errorifexists":
+            remove_path(spark, snapshot_path(root, number))
+            remove_path(spark, f"{root}/{CLAIMS}/{number}")
+        raise
+    drop_old_snapshots(spark, root, retain)
     return number
 
 
-def drop_old_snapshots(spark: SparkSession, root: str, keep: int) -> None:
-    """Delete superseded versions; ``keep`` of two spares readers of the last one."""
-    if keep < 1:
-        raise ValueError("keep at least one snapshot")
-    files, _ = _folder(spark, root)
-    for number in _numbers(spark, root, finished=True)[:-keep]:
-        files.delete(spark._jvm.org.apache.hadoop.fs.Path(snapshot_path(root, number)), True)
+def drop_old_snapshots(spark: SparkSession, root: str, retain: float = RETAIN) -> None:
+    """Delete versions that were superseded, or left unfinished, ``retain`` seconds ago."""
+    finished = _numbers(spark, root, finished=True)
+    if not finished:
+        return
+    for number, following in zip(finished[:-1], finished[1:], strict=True):
+        age = _age(spark, f"{snapshot_path(root, following)}/{MARKER}")
+        if age is not None and age > retain:
+            remove_path(spark, snapshot_path(root, number))
+            remove_path(spark, f"{root}/{CLAIMS}/{number}")
+    for number in set(_numbers(spark, root, finished=False)) - set(finished):
+        age = _age(spark, snapshot_path(root, number))
+        if number < finished[-1] and age is not None and age > retain:
+            remove_path(spark, snapshot_path(root, number))
+            remove_path(spark, f"{root}/{CLAIMS}/{number}")

@@ -28,18 +28,6 @@ RESULT_COLUMNS = (
     "isTeamSport",
 )
 RESULT_NUMBERS = ("edition_id", "result_id", "athlete_id")
-GAMES_TEXTS = (
-    "edition",
-    "edition_url",
-    "city",
-    "country_flag_url",
-    "country_noc",
-    "start_date",
-    "end_date",
-    "competition_date",
-    "isHeld",
-)
-GAMES_NUMBERS = ("edition_id", "year")
 
 RESULT_MESSAGE_TEXT = StructType([StructField(c, StringType()) for c in RESULT_COLUMNS])
 RESULT_MESSAGE_TYPED = StructType(
@@ -48,9 +36,21 @@ RESULT_MESSAGE_TYPED = StructType(
         for c in RESULT_COLUMNS
     ]
 )
+# Columns and types of the games table, in the order of its definition.
 GAMES = StructType(
-    [StructField(c, IntegerType()) for c in GAMES_NUMBERS]
-    + [StructField(c, StringType()) for c in GAMES_TEXTS]
+    [
+        StructField("edition", StringType()),
+        StructField("edition_id", IntegerType()),
+        StructField("edition_url", StringType()),
+        StructField("year", IntegerType()),
+        StructField("city", StringType()),
+        StructField("country_flag_url", StringType()),
+        StructField("country_noc", StringType()),
+        StructField("start_date", StringType()),
+        StructField("end_date", StringType()),
+        StructField("competition_date", StringType()),
+        StructField("isHeld", StringType()),
+    ]
 )
 CATEGORY_LOG = StructType(
     [

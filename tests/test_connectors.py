@@ -5,9 +5,9 @@ from pyspark.errors import AnalysisException
 
 from strataflow.plans.stream_averages import publish_table
 from strataflow.session import scratch_path, scratch_root
-from strataflow.sinks.connectors import append_jdbc, jdbc_write_options, replace_jdbc
+from strataflow.sinks.connectors import append_jdbc, jdbc_write_options, append_jdbc_batch, stage_jdbc
 from strataflow.sources.files import scan_csv
-from strataflow.sources.jdbc import JdbcSplit, JdbcTarget, jdbc_read_options, scan_jdbc
+from strataflow.sources.jdbc import JdbcSplit, JdbcTarget, jdbc_read_options, scan_jdbc, text_ranges
 from strataflow.sources.kafka import KafkaCluster, kafka_read_options, stream_topic
 from strataflow.sources.tables import UnknownTable, require_table
 from strataflow.streaming.sinks import topic_sink
@@ -35,7 +35,7 @@ def test_kafka_read_options():
 
 
 def test_jdbc_read_options():
-    plain = jdbc_read_options(TARGET)
+    plain = jdbc_read_options(TARGET, single_connection=True)
     assert plain["dbtable"] == "t" and plain["password"] == "secret"
     assert "numPartitions" not in plain
     split = jdbc_read_options(TARGET, JdbcSplit("id", "1", "900", 12))
@@ -44,6 +44,23 @@ def test_jdbc_read_options():
     assert "user" not in JdbcTarget("u", "d", "t").options()
 
 
+def test_a_table_through_one_connection_has_to_be_asked_for(spark):
+    with pytest.raises(ValueError, match="single_connection"):
+        scan_jdbc(spark, TARGET)
+    with pytest.raises(ValueError, match="single_connection"):
+        jdbc_read_options(TARGET, JdbcSplit("id", "1", "2", 2), single_connection=True)
+    with pytest.raises(ValueError, match="another table"):
+        stage_jdbc(spark.range(1), TARGET, TARGET.table)
+
+
+def test_text_ranges_part_every_row(spark):
+    rows = spark.createDataFrame([(v,) for v in ("a", "g", "o'x", "p", "z", None)], "name string")
+    parts = [rows.filter(p.replace("''", "\\'")) for p in text_ranges("name", ["g", "o'x", "p"])]
+    assert [p.count() for p in parts] == [2, 1, 1, 2]
+    with pytest.raises(ValueError):
+        text_ranges("name", ["p", "g"])
+
+
 def test_jdbc_write_options():
     options = jdbc_write_options(TARGET, connections=4, batch_size=500)
     assert (options["numPartitions"], options["batchsize"]) == ("4", "500")
@@ -53,9 +70,11 @@ def test_jdbc_calls_reach_the_driver_class(spark):
     """No driver is installed, so each call ends where Spark loads it."""
     calls = [
         lambda: scan_jdbc(spark, TARGET, JdbcSplit("id", "1", "900", 12)),
-        lambda: scan_jdbc(spark, TARGET),
+        lambda: scan_jdbc(spark, TARGET, single_connection=True),
+        lambda: scan_jdbc(spark, TARGET, text_ranges("name", ["g", "p"])),
         lambda: append_jdbc(spark.range(1), TARGET),
-        lambda: replace_jdbc(spark.range(1), TARGET),
+        lambda: append_jdbc_batch(spark.range(1), TARGET, 3),
+        lambda: stage_jdbc(spark.range(1), TARGET, "t_staging"),
     ]
     for call in calls:
         with pytest.raises(Exception, match="org.example.Driver"):

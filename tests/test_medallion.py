@@ -1,5 +1,6 @@
 import pytest
 
+from strataflow.sinks.layers import read_layer
 from strataflow.plans.medallion import (
     DIMENSION,
     FACT,
@@ -29,7 +30,7 @@ def landing(tmp_path):
 
 def gold(spark, landing, tmp_path, recipe):
     path = run_medallion(spark, landing, str(tmp_path / "lake"), recipe)
-    rows = spark.read.parquet(path)
+    rows = read_layer(spark, path)
     return rows, sorted(tuple(r)[:6] for r in rows.collect())
 
 
@@ -40,7 +41,7 @@ def test_plain(spark, landing, tmp_path):
         ("Judo", None, "M", "UA", 80.5, None), ("Rowing", "Gold", "F", "GB", 6365.0, 170.0)
     ]
     assert rows.dtypes[-1] == ("timestamp", "timestamp")
-    silver = spark.read.parquet(str(tmp_path / "lake" / "silver" / FACT))
+    silver = read_layer(spark, str(tmp_path / "lake" / "silver" / FACT))
     assert silver.count() == 3
 
 
@@ -51,7 +52,7 @@ def test_measured_rows_only_with_labels(spark, landing, tmp_path):
 
 def test_silver_may_hold_numbers(spark, landing, tmp_path):
     gold(spark, landing, tmp_path, RECIPES["measured_rounded"])
-    silver = spark.read.parquet(str(tmp_path / "lake" / "silver" / DIMENSION))
+    silver = read_layer(spark, str(tmp_path / "lake" / "silver" / DIMENSION))
     assert dict(silver.dtypes)["height"] == "double"
     assert [r.name for r in silver.collect()] == ["Zo A"]
 
@@ -80,7 +81,7 @@ def test_tables_as_separate_jobs(spark, landing, tmp_path):
         run_table(spark, landing, lake, table, recipe)
     out = f"{lake}/gold/one"
     aggregate(spark, f"{lake}/silver/{FACT}", f"{lake}/silver/{DIMENSION}", out, recipe)
-    assert spark.read.parquet(out).count() == 2
+    assert read_layer(spark, out).count() == 2
     with pytest.raises(UnknownTable):
         run_table(spark, landing, lake, "medals", recipe)
 

@@ -45,7 +45,7 @@ def test_shuffles_with_a_small_dimension(spark, name, shuffles):
 def test_scan_reads_only_what_is_needed(spark):
     plan = physical(contract.queries()["avg_stats_measured"](spark, SF_DIR))
     assert "o_totalprice" not in plan and "c_name" not in plan and "c_acctbal" not in plan
-    plan = physical(contract.queries()["parquet_scan"](spark, SF_DIR))
+    plan = physical(contract.queries()["parquet_scan_pruned"](spark, SF_DIR))
     assert "EqualTo(o_orderstatus,F)" in plan
     assert "o_custkey" in plan and "o_orderpriority" not in plan
 
@@ -59,7 +59,7 @@ def test_recency_filters_reach_the_scan(spark):
         freshness.recent_count(events, "ts", 30, now),
         freshness.any_recent(events, "ts", 30, now),
         freshness.any_recent(events, "ts", 30, now, whole_seconds=True),
-        freshness.latest_recent_row(events, "ts", 30, now),
+        freshness.latest_recent_row(events, "ts", 30, "event_id", now),
     ):
         assert "PushedFilters: [IsNotNull(ts), GreaterThan" in physical(df)
 

@@ -69,7 +69,7 @@ def test_counters(spark, rows, tmp_path):
 
 def test_salted_join(spark, rows):
     dim = spark.range(7).select(F.col("id").alias("k"), F.lit("d").alias("d"))
-    joined = enrich_stream(rows, dim, "k", salts=4)
+    joined = enrich_stream(rows, dim, "k", hot=[1, 3], salts=4)
     assert tuple(joined.agg(F.count("*"), F.countDistinct("n")).first()) == (ROWS, ROWS)
 
 

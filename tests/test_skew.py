@@ -10,7 +10,7 @@ from strataflow.operators.averages import grouped_averages
 from strataflow.operators.enrich import enrich
 from strataflow.operators.numbering import number_rows
 from strataflow.operators.upsert import upsert_counter
-from strataflow.streaming.enrich import enrich_stream
+from strataflow.streaming.enrich import enrich_stream, hot_keys
 from tests.plans import initial, physical
 
 ROWS, KEYS = 60_000, 500
@@ -115,35 +115,89 @@ def test_key_as_group_and_measure_on_both_sides(spark, fold):
         assert sorted(df.collect()) == [(1, groups[0], 2.0), (2, groups[1], 4.0)]
 
 
-def test_salted_enrichment_is_complete_and_even(spark, fact, dim):
+def test_hot_keys_are_found(fact):
+    assert hot_keys(fact, "athlete_id", 0.25) == [7]
+    assert hot_keys(fact, "athlete_id", 0.9) == []
+
+
+def test_dealt_enrichment_is_complete(spark, fact, dim):
     plain = fact.join(dim, "athlete_id").select("payload", "sex", "weight")
-    salted = enrich_stream(fact, dim, "athlete_id", salts=8).select("payload", "sex", "weight")
-    assert sorted(plain.collect(), key=str) == sorted(salted.collect(), key=str)
+    dealt = enrich_stream(fact, dim, "athlete_id", hot=[7, 9], salts=8)
+    assert sorted(plain.collect(), key=str) == sorted(
+        dealt.select("payload", "sex", "weight").collect(), key=str
+    )
 
 
-def test_salts_only_beyond_the_broadcast_limit(spark, tmp_path):
+def test_the_plan_does_not_hang_on_size_statistics(spark, tmp_path):
+    """A local relation has no size statistics, a table has; Spark alone decides the join."""
     path = str(tmp_path / "dim")
-    spark.range(100).select(F.col("id").alias("k"), F.lit("d").alias("d")).write.parquet(path)
-    stream, dim = spark.range(1_000).select(F.col("id").alias("k")), spark.read.parquet(path)
-    assert "BroadcastHashJoin" in initial(enrich_stream(stream, dim, "k"))
-    assert "_salt#" not in initial(enrich_stream(stream, dim, "k"))
-    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "100"}):
-        plan = initial(enrich_stream(stream, dim, "k"))
-    assert "SortMergeJoin" in plan and "_salt#" in plan
-
-
-def test_salts_spread_equal_rows(spark, tmp_path):
-    path = str(tmp_path / "same")
-    spark.range(8_000).select(F.lit(1).alias("k"), F.lit("x").alias("v")).write.parquet(path)
-    same, dim = spark.read.parquet(path), spark.createDataFrame([(1, "d"), (2, "e")], "k int, d string")
+    small = spark.createDataFrame([(1, "d"), (2, "e")], "k long, d string")
+    small.write.parquet(path)
+    stream = spark.range(1_000).select(F.col("id").alias("k"))
+    for dim in (small, spark.read.parquet(path)):
+        assert "_salt" not in initial(enrich_stream(stream, dim, "k"))
+        assert "_salt" in initial(enrich_stream(stream, dim, "k", hot=[1]))
+
+
+def test_a_hot_key_is_spread_and_cold_rows_are_not_copied(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("long").alias("k")
+    ).write.parquet(path)
+    rows = spark.read.parquet(path)
+    dim = spark.range(60_000).select(F.col("id").alias("k"), F.lit("d").alias("d"))
     with settings(spark, **NO_BROADCAST, **{"spark.sql.adaptive.enabled": "false"}):
-        sizes = {}
-        for salts in (1, 64):
-            joined = enrich_stream(same, dim, "k", salts=salts)
-            parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
-            sizes[salts] = [r["count"] for r in parts]
-    assert sizes[1] == [8_000]
-    assert sum(sizes[64]) == 8_000 and max(sizes[64]) < 4_000
+        joined = enrich_stream(rows, dim, "k", hot=hot_keys(rows, "k", 0.1))
+        parts = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        sizes = [r["count"] for r in parts]
+        assert sum(sizes) == 60_000
+        assert max(sizes) <= 2 * 60_000 / 8
+        assert enrich_stream(dim.select("k"), dim, "k", hot=[1], salts=32).count() == 60_000
+
+
+def test_hot_join_key_among_the_groups_is_split(spark, fact, dim):
+    narrow = {
+        **NO_BROADCAST,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2.0",
+    }
+    with settings(spark, **narrow):
+        stats = grouped_averages(
+            fact.withColumn("sport", F.col("payload")), dim, "athlete_id",
+            ["athlete_id", "sport"], {"mean": "weight"}, stamp_column=None,
+        )
+        assert stats.count() > 0
+        stats.collect()
+        assert "skew=true" in physical(stats)
+
+
+@pytest.mark.parametrize("scale", [2, 8])
+def test_exact_averages_of_odd_measures(spark, scale):
+    nan, inf = float("nan"), float("inf")
+    fact = spark.createDataFrame([(k,) for k in (1, 1, 2, 3, 4, 5, 5, 6)], "k int")
+    measures = {1: 0.12345678, 2: 10.0, 3: nan, 4: None, 5: 0.12345679, 6: 1e14}
+    dim = spark.createDataFrame(
+        [(k, f"g{k}" if k > 2 else "g", v) for k, v in measures.items()], "k int, g string, m double"
+    )
+    odd = spark.createDataFrame([(7, "g", nan), (8, "h", inf)], "k int, g string, m double")
+    found = {}
+    for fold in (False, True):
+        for extra in (False, True):
+            rows = fact.unionByName(spark.createDataFrame([(7,), (8,)], "k int")) if extra else fact
+            df = grouped_averages(
+                rows, dim.unionByName(odd), "k", ["g"], {"mean": "m"}, exact_scale=scale,
+                fold_fact=fold, stamp_column=None,
+            )
+            found[fold, extra] = {r.g: str(r.mean) for r in df.collect()}
+    assert found[False, False] == found[True, False]
+    assert found[False, True] == found[True, True]
+    assert found[False, True]["g"] == found[False, True]["h"] == found[False, False]["g3"] == "nan"
+    assert found[False, False]["g4"] == "None" and float(found[False, False]["g6"]) == 1e14
+    if scale == 8:
+        assert float(found[True, False]["g5"]) == 0.12345679
+    with pytest.raises(ValueError):
+        grouped_averages(fact, dim, "k", ["g"], {"mean": "m"}, exact_scale=13)
 
 
 @pytest.mark.parametrize("unique", [False, True])

@@ -1,4 +1,7 @@
+import time
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -11,7 +14,15 @@ from strataflow.operators.reconcile import count_mismatch
 from strataflow.operators.upsert import upsert_counter
 from strataflow.plans.copies import apply_hits, create_if_absent, refresh_copy
 from strataflow.plans.count_log import append_numbered, last_id, log_and_check, log_counts
-from strataflow.sinks.snapshots import current_snapshot, read_snapshot, write_snapshot
+from strataflow.session import scratch_path, scratch_root
+from strataflow.sinks.layers import read_layer, write_layer
+from strataflow.sinks.snapshots import (
+    SnapshotConflict,
+    current_snapshot,
+    drop_old_snapshots,
+    read_snapshot,
+    write_snapshot,
+)
 from strataflow.sources.tables import CATEGORY_LOG, COUNTER, GAMES
 
 NOW = datetime(2024, 1, 1, 12)
@@ -34,7 +45,7 @@ def answers(spark, *ages):
         "count": freshness.recent_count(*args).first()[0],
         "exists": freshness.any_recent(*args).count(),
         "whole": freshness.any_recent(*args, whole_seconds=True).count(),
-        "latest": freshness.latest_recent_row(*args).count(),
+        "latest": freshness.latest_recent_row(*args[:3], "created_at", NOW).count(),
     }
 
 
@@ -57,7 +68,9 @@ def test_freshness_edges(spark):
 
 
 def test_latest_row_is_the_newest(spark):
-    row = freshness.latest_recent_row(log_of(spark, 9, 3, 20), "created_at", 30, NOW).first()
+    row = freshness.latest_recent_row(
+        log_of(spark, 9, 3, 20), "created_at", 30, "created_at", NOW
+    ).first()
     assert row.created_at == NOW - timedelta(seconds=3)
 
 
@@ -191,6 +204,10 @@ def test_create_if_absent_keeps_types(spark, tmp_path):
         ]
 
 
+def versions(path):
+    return sorted(p.name for p in path.iterdir() if p.name.startswith("snapshot="))
+
+
 def test_snapshots_can_read_what_they_replace(spark, tmp_path):
     root = str(tmp_path / "t")
     write_snapshot(spark.range(2), root)
@@ -199,7 +216,11 @@ def test_snapshots_can_read_what_they_replace(spark, tmp_path):
     assert sorted(r.id for r in reader.collect()) == [0, 1]
     assert sorted(r.id for r in read_snapshot(spark, root).collect()) == [1, 2]
     write_snapshot(spark.range(1), root)
-    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["snapshot=1", "snapshot=2"]
+    assert versions(tmp_path / "t") == ["snapshot=0", "snapshot=1", "snapshot=2"]
+    time.sleep(0.1)
+    write_snapshot(spark.range(1), root, retain=0.05)
+    assert versions(tmp_path / "t")[-1] == "snapshot=3"
+    assert "snapshot=0" not in versions(tmp_path / "t")
 
 
 def test_unfinished_snapshot_is_not_read(spark, tmp_path):
@@ -209,13 +230,68 @@ def test_unfinished_snapshot_is_not_read(spark, tmp_path):
     assert current_snapshot(spark, root) == 0
     assert write_snapshot(spark.range(3), root) == 2
     assert read_snapshot(spark, root).count() == 3
+    time.sleep(0.1)
+    drop_old_snapshots(spark, root, retain=0.05)
+    assert versions(tmp_path / "t") == ["snapshot=2"]
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_path):
+    root = str(tmp_path / "t")
+    write_snapshot(spark.range(1), root)
+
+    def write(_):
+        try:
+            return write_snapshot(spark.range(1000), root, after=0)
+        except SnapshotConflict:
+            return None
+
+    with ThreadPoolExecutor(2) as pool:
+        numbers = list(pool.map(write, range(2)))
+    assert sorted(numbers, key=str) == [1, None]
+    assert read_snapshot(spark, root).count() == 1000
+    with pytest.raises(SnapshotConflict):
+        write_snapshot(spark.range(5), root, after=0)
+    assert read_snapshot(spark, root).count() == 1000
+
+
+def test_a_failed_write_leaves_the_old_version(spark, tmp_path):
+    root = str(tmp_path / "t")
+    write_layer(spark.range(3), root)
+    broken = spark.range(1).select(F.raise_error(F.lit("lost")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        write_layer(broken, root)
+    assert read_layer(spark, root).count() == 3
+    assert write_snapshot(spark.range(4), root, after=0) == 1
+
+
+def test_a_batch_of_hits_counts_once(spark, tmp_path):
+    root = str(tmp_path / "c")
+    create_if_absent(spark, root, COUNTER)
+    keys = ["champion_name", "sport", "medal_type"]
+    schema = "champion_name string, sport string, medal_type string"
+    for batch, names in ((1, "aab"), (2, "c"), (2, "c"), (1, "aab")):
+        hits = spark.createDataFrame([(n, "s", "Gold") for n in names], schema)
+        apply_hits(hits, root, keys, OLD, batch_id=batch)
+    rows = {r.champion_name: (r.id, r["count"]) for r in read_snapshot(spark, root).collect()}
+    assert rows == {"a": (1, 2), "b": (2, 1), "c": (3, 1)}
+
+
+def test_staging_is_emptied(spark, tmp_path):
+    root, log = str(tmp_path / "c"), str(tmp_path / "log")
+    create_if_absent(spark, root, COUNTER)
+    schema = "champion_name string, sport string, medal_type string"
+    before = set(Path(scratch_root(spark)).glob("strataflow/*"))
+    apply_hits(spark.createDataFrame([("a", "s", "Gold")], schema), root, schema.replace(" string", "").split(", "))
+    staging = scratch_path(spark, "numbering")
+    append_numbered(spark.range(3).withColumnRenamed("id", "v"), log, ["v"], staging)
+    assert set(Path(scratch_root(spark)).glob("strataflow/*")) == before
 
 
 def test_snapshot_numbers_do_not_go_back(spark, tmp_path):
     root = str(tmp_path / "t")
     write_snapshot(spark.range(2), root, number=4)
-    write_snapshot(spark.range(3), root, number=4)
-    assert read_snapshot(spark, root).count() == 3
+    write_snapshot(spark.range(3), root, number=4)  # a retry changes nothing
+    assert read_snapshot(spark, root).count() == 2
     with pytest.raises(ValueError):
         write_snapshot(spark.range(1), root, number=3)
     with pytest.raises(AnalysisException):
