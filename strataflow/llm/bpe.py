@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from strataflow.llm.common import whole, without
 
-#: Words, and pieces of words, whose ids a worker remembers at least half of.
-REMEMBERED = 250_000
+#: Words whose ids a worker remembers, at least half of them: some 200 bytes each.
+REMEMBERED = 1_200_000
 #: Characters that are cut up at a time, about.
 GROUP_CHARACTERS = 500_000
 #: Text or ids that a batch passes on at a time, about.
@@ -33,6 +33,8 @@ _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _MARKS = r"!-/:-@\[-`{-~"
 # A run of letters ends a match of the split pattern where a mark follows.
 _PIECE = re.compile(f"[{_SPACE}]*[{_LATIN}]+(?=[{_MARKS}])|[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+# Marks that often end a word, and the last letter of the blocks of Latin letters.
+_ENDS, _LAST_LATIN = (".", ",", ";", ":", "!", "?"), "\u024f"
 _BLANK_AFTER_SPACE = [c + " " for c in sorted(_SPACES)]
 
 
@@ -133,6 +135,7 @@ class Codec:
         self.tokenizer = load_tokenizer(path, pattern)
         self._words: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
+        self._ends = dict(zip(_ENDS, self._encode_apart(list(_ENDS)), strict=True))
         self.widths = np.array([len(b) for b in token_bytes(path)], np.int64)
 
     @classmethod
@@ -142,30 +145,29 @@ class Codec:
             cls._loaded[path, pattern] = cls(path, pattern)
         return cls._loaded[path, pattern]
 
-    def _learn_pieces(self, new: set[str]) -> None:
-        """Encode new pieces, most of them in one text, and remember their ids.
+    def _encode_together(self, parts: list[str]) -> Iterator[bytes]:
+        """Ids of parts that start with white space and end without, encoded as one text.
 
-        Pieces that start with white space and end without are cut apart again by the
-        bytes that the ids stand for.
+        No match of the split pattern crosses from one to the next, so the ids are cut
+        apart again by the bytes that they stand for.
         """
-        joined = sorted(p for p in new if p[0] in _SPACES and p[-1] not in _SPACES)
-        apart = sorted(new.difference(joined))
-        encoded = self.tokenizer.encode_batch_fast(apart, add_special_tokens=False)
-        for piece, found in zip(apart, encoded, strict=True):
-            self._pieces[piece] = np.array(found.ids, "<u4").tobytes()
-        if not joined:
+        if not parts:
             return
-        text = self.tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0]
+        text = self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0]
         ids = np.array(text.ids, "<u4")
-        ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in joined])
+        ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in parts])
         cuts = np.searchsorted(np.cumsum(self.widths[ids]), ends, side="left") + 1
         blob, start = ids.tobytes(), 0
-        for piece, cut in zip(joined, (4 * cuts).tolist(), strict=True):
-            self._pieces[piece] = blob[start:cut]
+        for cut in (4 * cuts).tolist():
+            yield blob[start:cut]
             start = cut
 
-    def _learn(self, texts: list[str]) -> list[bytes]:
-        """Ids of texts from the ids of their pieces.
+    def _encode_apart(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(f.ids, "<u4").tobytes() for f in found]
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts from those of their pieces, see ``_PIECE``.
 
         A text is cut before white space that follows another character, and between a
         letter and a mark. No match of the split pattern crosses such a place and none
@@ -177,11 +179,32 @@ class Codec:
         for pieces in cut:
             new.update(pieces)
         new.difference_update(self._pieces)
-        if new:
-            self._learn_pieces(new)
+        together = [p for p in new if p[0] in _SPACES and p[-1] not in _SPACES]
+        apart = list(new.difference(together))
+        self._pieces.update(zip(together, self._encode_together(together), strict=True))
+        self._pieces.update(zip(apart, self._encode_apart(apart), strict=True))
         known = self._pieces.__getitem__
         return [b"".join(map(known, pieces)) for pieces in cut]
 
+    def _learn_words(self, new: set[str]) -> None:
+        """Remember the ids of new words, each with a blank before it."""
+        words = self._words
+        plain, marked, other = [], [], []
+        for word in new:
+            if word.isalpha():
+                plain.append(word)
+            elif word[-1:] in _ENDS and word[:-1].isalpha() and word[-2] <= _LAST_LATIN:
+                marked.append(word)
+            else:
+                other.append(word)
+        stems = {w[:-1] for w in marked}.difference(words, plain)
+        plain.extend(stems)
+        words.update(zip(plain, self._encode_together([" " + w for w in plain]), strict=True))
+        ends = self._ends
+        for word in marked:
+            words[word] = words[word[:-1]] + ends[word[-1]]
+        words.update(zip(other, self._by_pieces([" " + w for w in other]), strict=True))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text.
 
@@ -203,10 +226,9 @@ class Codec:
                 heads.append(head)
                 group.append(rest)
                 new |= set(rest).difference(self._words)
-            fresh = sorted(new)
-            self._words.update(zip(fresh, self._learn([" " + w for w in fresh]), strict=True))
+            self._learn_words(new)
             known = self._words.__getitem__
-            for head, rest in zip(self._learn(heads), group, strict=True):
+            for head, rest in zip(self._by_pieces(heads), group, strict=True):
                 whole = head + b"".join(map(known, rest)) if rest else head
                 results.append(np.frombuffer(whole, "<u4"))
         return results

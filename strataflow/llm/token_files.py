@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -100,19 +101,25 @@ class Table:
         return symbols
 
 
+@lru_cache(maxsize=1)
+def _zstandard() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One of each per worker: they are costly to make."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _pack(ids: np.ndarray) -> bytes:
     """Ids on their way to their file: byte planes, compressed."""
     planes = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
     used = 4 if planes[2:].any() else 2
-    return bytes([used]) + zstandard.ZstdCompressor(level=1).compress(planes[:used].tobytes())
+    return bytes([used]) + _zstandard()[0].compress(planes[:used].tobytes())
 
 
 def _unpack(packed: bytes) -> np.ndarray:
     used = packed[0]
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[1:]), np.uint8)
+    planes = np.frombuffer(_zstandard()[1].decompress(packed[1:]), np.uint8)
     planes = planes.reshape(used, -1)
-    ids = np.zeros(planes.shape[1], np.uint32)
-    for k in range(used):
+    ids = planes[0].astype(np.uint32)
+    for k in range(1, used):
         ids |= planes[k].astype(np.uint32) << np.uint32(8 * k)
     return ids
 
@@ -138,12 +145,22 @@ def _histogram(tokens: DataFrame) -> dict[int, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << 16, np.int64)
+        held: list[np.ndarray] = []
+
+        def add() -> None:
+            nonlocal counts
+            if held:
+                found = np.bincount(np.concatenate(held), minlength=len(counts))
+                found[: len(counts)] += counts
+                counts = found
+                held.clear()
+
         for batch in batches:
-            for packed in batch.column("packed").to_pylist():
-                found = np.bincount(_unpack(packed))
-                if len(found) > len(counts):
-                    counts = np.concatenate((counts, np.zeros(len(found) - len(counts), np.int64)))
-                counts[: len(found)] += found
+            for packed in batch.column("packed"):
+                held.append(_unpack(packed.as_py()))
+                if sum(map(len, held[-64:])) > BLOCK_TOKENS or len(held) >= 256:
+                    add()
+        add()
         ids = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], ["id", "n"])
 
