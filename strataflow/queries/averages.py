@@ -140,8 +140,9 @@ def avg_stats_measured(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("avg_stats_rounded", f"""
     SELECT sport, {SENTINEL_LABEL} AS medal, sex, d.country_noc,
            cast(round(cast(avg(weight) AS decimal(28, 10)), 2) AS double) AS avg_weight,
-           cast(round(cast(cast(sum(cast(balance AS decimal(18, 2))) AS double) / count(balance)
-                           AS decimal(28, 10)), 2) AS double) AS avg_balance,
+           cast(round(cast(cast(cast(sum(cast(balance AS decimal(18, 2))) AS double)
+                                / count(balance) AS varchar) AS decimal(30, 15)), 2)
+                AS double) AS avg_balance,
            TIMESTAMP '{AS_OF}' AS "timestamp"
     FROM ({FACT_SQL}) AS f
     JOIN (SELECT athlete_id, sex, country_noc, {_number('weight')} AS weight, c_acctbal AS balance
