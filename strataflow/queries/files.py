@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataflow.queries.inputs import DIM_SQL, athletes
+from strataflow.plans.medallion import DIMENSION, Recipe, ingest
+from strataflow.queries.inputs import DIM_SQL, athletes, select_sql
 from strataflow.queries.registry import query, table
 from strataflow.session import scratch_path
 from strataflow.sinks.layers import read_layer, write_layer, write_profiled
 from strataflow.sources.files import scan_csv, scan_parquet
 
 
-def write_csv(df: DataFrame, path: str, separator: str = ",") -> None:
+def write_csv(df: DataFrame, path: str, separator: str = ",", **options: str) -> None:
     """Landing files; surrounding spaces are part of a value and stay."""
     (
-        df.write.option("header", True)
+        df.write.options(**options)
+        .option("header", True)
         .option("sep", separator)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
@@ -41,6 +43,25 @@ def csv_scan_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, path, types="infer", separator=";")
 
 
+# Quotes, a backslash, a separator and a line break within one value.
+QUOTED = {
+    "athlete_id": "cast(c_custkey AS varchar(9))",
+    "name": "concat(c_name, ' ', chr(34), c_mktsegment, chr(34), chr(92), ',', chr(10), 'next ', chr(34))",
+    "sex": "c_mktsegment",
+}
+QUOTED_CSV = {"multiLine": "true", "escape": '"'}
+
+
+@query("csv_ingest_quoted", select_sql(QUOTED, "customer"))
+def csv_ingest_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that only the CSV options of a recipe read back whole, from landing to bronze."""
+    landing, bronze = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    columns = [f"{expression} AS {name}" for name, expression in QUOTED.items()]
+    write_csv(table(spark, sf_dir, "customer").selectExpr(*columns), landing, escape='"')
+    ingest(spark, landing, bronze, DIMENSION, Recipe(csv=QUOTED_CSV))
+    return read_layer(spark, bronze)
+
+
 @query("parquet_scan", "SELECT * FROM orders")
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, f"{sf_dir}/orders.parquet")
