@@ -13,6 +13,7 @@ from strataflow.llm import (
     bpe,
     lines,
     mixing,
+    oracles,
     quality,
     rules,
     secret_scan,
@@ -136,6 +137,6 @@ QUERIES: dict[str, Query] = {
     "op10_vectors": op10_vectors,
     "pipeline": corpus_pipeline.run,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_secrets": oracles.SECRETS, "op5_mixing": oracles.MIXING}
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
