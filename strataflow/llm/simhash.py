@@ -23,6 +23,8 @@ BLOCKS = BITS // BLOCK_BITS
 UNIT_ROWS = 20_000
 # What names a unit of work: the trie, the prefixes of both nodes, the chunks of both.
 _UNIT = ("turn", "low", "high", "one", "two")
+#: Depth at which the pairs of nodes become units of work, at least: some hundred units.
+LEAST_DEPTH = 4
 _LEAF_PAIRS = 64
 _FRONTIER = 200_000
 
@@ -228,12 +230,13 @@ def near_links(
     depth = BLOCK_BITS
     if spare:
         many = prints.count()
-        depth = min(BLOCK_BITS, max(0, math.ceil(math.log2(max(many, 1) / unit_rows))))
+        depth = math.ceil(math.log2(max(many, 1) / unit_rows))
+        depth = min(BLOCK_BITS, max(LEAST_DEPTH, depth))
     rotated = F.expr(
         f"shiftleft(fp, turn * {BLOCK_BITS})"
         f" | if(turn = 0, 0L, shiftrightunsigned(fp, {BITS} - turn * {BLOCK_BITS}))"
     )
-    head = F.shiftrightunsigned("rotated", BITS - depth) if depth else F.lit(0)
+    head = F.shiftrightunsigned("rotated", BITS - depth)
     check = F.lit(0).cast("bigint") if check_budget is None else F.col("check")
     turned = (
         prints.select(
