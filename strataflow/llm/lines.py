@@ -83,11 +83,15 @@ def _repeats(docs: DataFrame, min_documents: int, depth: int, similarity: float)
     """For each text with lines to drop, their places."""
     found = stage(_lines(docs, depth, similarity), "lines")
     # A template lies in one leaf, so only leaves of enough texts can hold a recurring one.
-    crowded = _recurring(found, "leaf", min_documents).select("leaf")
+    # Both lists of keys are written out: a join with them as they come would be bound to
+    # their partitioning, and Spark could not split a hot line.
+    crowded = stage(_recurring(found, "leaf", min_documents).select("leaf"), "leaves")
     lines = found.join(crowded, "leaf").select(
         "doc_id", "digest", "pos", F.explode("templates").alias("template")
     )
-    recurring = _recurring(lines, "template", min_documents).select("template", "first")
+    recurring = stage(
+        _recurring(lines, "template", min_documents).select("template", "first"), "templates"
+    )
     is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
         F.col("digest") == F.col("first.digest")
     )
