@@ -316,8 +316,12 @@ def near_groups(
     known = prints.join(connected_components(links, "a", "b"), "node", "left").withColumn(
         "root", F.coalesce("root", "node")
     )
-    names = known.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rows.join(known.select(*keys, "root"), keys).join(names, "root").select(
+    known = stage(known, "roots")
+    # Names are joined to fingerprints, not to rows, and from a table of their own, so that
+    # neither a hot fingerprint nor a large component is bound to one partition.
+    names = stage(known.groupBy("root").agg(F.min("low").alias("component_id")), "components")
+    named = known.select(*keys, "root").join(names, "root")
+    return rows.join(named, keys).select(
         *[c for c in rows.columns if c != "check"], "component_id", "root"
     )
 
