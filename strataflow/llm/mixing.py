@@ -14,7 +14,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: A source is repeated at most this often.
 MOST_EPOCHS = 3.0
 #: Rows that one task sorts together, about.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 1_000
 _NOISE = "[#*$%&|<>{}=_~^\\\\]"
 
 
