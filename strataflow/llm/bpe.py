@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from strataflow.llm.common import whole, without
 
 #: Words whose ids a worker remembers, at least half of them: some 200 bytes each.
-REMEMBERED = 1_200_000
+REMEMBERED = 400_000
 #: Characters that are cut up at a time, about.
 GROUP_CHARACTERS = 500_000
 #: Text or ids that a batch passes on at a time, about.
@@ -91,11 +91,9 @@ def load_tokenizer(path: str, pattern: str | None = None):
     return tokenizer
 
 
-def _trimmed(known: dict[str, bytes]) -> dict[str, bytes]:
+def _trimmed(known: dict[str, bytes], most: int) -> dict[str, bytes]:
     """All of a small table, else its older half: frequent words come up early."""
-    if len(known) <= REMEMBERED:
-        return known
-    return dict(islice(known.items(), REMEMBERED // 2))
+    return known if len(known) <= most else dict(islice(known.items(), most // 2))
 
 
 @lru_cache(maxsize=4)
@@ -131,7 +129,8 @@ class Codec:
 
     _loaded: dict[tuple, Codec] = {}
 
-    def __init__(self, path: str, pattern: str | None = None) -> None:
+    def __init__(self, path: str, pattern: str | None = None, remember: int = REMEMBERED) -> None:
+        self.remember = remember
         self.tokenizer = load_tokenizer(path, pattern)
         self._words: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
@@ -139,11 +138,12 @@ class Codec:
         self.widths = np.array([len(b) for b in token_bytes(path)], np.int64)
 
     @classmethod
-    def of(cls, path: str, pattern: str | None = None) -> Codec:
+    def of(cls, path: str, pattern: str | None = None, remember: int = REMEMBERED) -> Codec:
         """The worker's codec, loaded once."""
-        if (path, pattern) not in cls._loaded:
-            cls._loaded[path, pattern] = cls(path, pattern)
-        return cls._loaded[path, pattern]
+        key = (path, pattern, remember)
+        if key not in cls._loaded:
+            cls._loaded[key] = cls(*key)
+        return cls._loaded[key]
 
     def _encode_together(self, parts: list[str]) -> Iterator[bytes]:
         """Ids of parts that start with white space and end without, encoded as one text.
@@ -174,7 +174,7 @@ class Codec:
         looks past it, so the ids of a text are those of its pieces in order.
         """
         cut = [_PIECE.findall(t) for t in texts]
-        self._pieces = _trimmed(self._pieces)
+        self._pieces = _trimmed(self._pieces, self.remember)
         new: set[str] = set()
         for pieces in cut:
             new.update(pieces)
@@ -213,7 +213,7 @@ class Codec:
         """
         results: list[np.ndarray] = []
         for at, stop in self._groups(texts):
-            self._words = _trimmed(self._words)
+            self._words = _trimmed(self._words, self.remember)
             group: list[list[str] | None] = []
             heads: list[str] = []
             new: set[str] = set()
@@ -282,18 +282,22 @@ def over_batches(
 
 
 def encode(
-    docs: DataFrame, path: str, pattern: str | None = None, offsets: bool = False
+    docs: DataFrame,
+    path: str,
+    pattern: str | None = None,
+    offsets: bool = False,
+    remember: int = REMEMBERED,
 ) -> DataFrame:
     """Every row with ``ids`` of its whole text and, if asked, the tokens' ``starts``.
 
     Starts are code points; the tokens of a split character all start at it. NULL and
     empty texts have no ids. Input columns named ``ids`` or ``starts`` are replaced. A
-    batch holds a bounded number of rows; a worker remembers the ids of a bounded number
-    of stretches of text.
+    batch passes on in parts of bounded size; a worker keeps the ids of some ``remember``
+    words, which saves encoding frequent ones again.
     """
 
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        codec = Codec.of(path, pattern)
+        codec = Codec.of(path, pattern, remember)
         texts = [t or "" for t in batch.column("text").to_pylist()]
         ids = codec.encode(texts)
         found = {"ids": _lists(ids)}

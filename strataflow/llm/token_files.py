@@ -26,6 +26,9 @@ LANES = 2048
 # 2 ** LOW_BITS, and give off words of 32 bits.
 PRECISION, LOW_BITS, WORD_BITS = 20, 31, 32
 
+#: Words that a worker keeps the ids of; here nothing else takes its memory.
+REMEMBERED = 1_200_000
+
 _BLOCK = (
     "file int, block int, first long, n_tokens long, lanes int, doc_ids array<long>,"
     " sizes array<long>, states binary, words binary, checksum long"
@@ -124,10 +127,12 @@ def _unpack(packed: bytes) -> np.ndarray:
     return ids
 
 
-def _tokens(docs: DataFrame, tokenizer: str, pattern: str | None, end_id: int) -> DataFrame:
+def _tokens(
+    docs: DataFrame, tokenizer: str, pattern: str | None, end_id: int, remember: int
+) -> DataFrame:
     def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         texts = [t or "" for t in batch.column("text").to_pylist()]
-        ids = Codec.of(tokenizer, pattern).encode(texts)
+        ids = Codec.of(tokenizer, pattern, remember).encode(texts)
         end = np.array([end_id], "<u4")
         packed = [_pack(np.concatenate((i, end))) for i in ids]
         return {"text": pa.nulls(len(texts), pa.string()), "packed": pa.array(packed, pa.binary())}
@@ -231,6 +236,7 @@ def write_tokens(
     tokenizer: str,
     pattern: str | None = None,
     end_id: int = END_ID,
+    remember: int = REMEMBERED,
 ) -> None:
     """Write the ids of all texts, each with ``end_id`` behind, in ascending doc_id order.
 
@@ -241,11 +247,11 @@ def write_tokens(
     by their number (NULL doc_ids first), so are the blocks of a file. Documents that share
     a doc_id lie together. NULL and empty texts are documents of the end id alone.
 
-    The ids are staged once; the files are then cut by ranges of doc_id. Rows with one
+    ``remember`` is that of ``bpe.encode``. The ids are staged once; the files are then cut by ranges of doc_id. Rows with one
     doc_id are split between files by their place in the input.
     """
     spark = docs.sparkSession
-    tokens = stage(_tokens(docs, tokenizer, pattern, end_id), "tokens")
+    tokens = stage(_tokens(docs, tokenizer, pattern, end_id, remember), "tokens")
     ids, frequencies = normal_frequencies(_histogram(tokens))
     rows = [(int(i), int(f)) for i, f in zip(ids, frequencies, strict=True)]
     spark.createDataFrame(rows, "id long, frequency long").coalesce(1).write.parquet(f"{path}/table")

@@ -61,9 +61,8 @@ def test_codec_of_a_json_vocabulary():
 def test_small_memory_gives_the_same_ids(monkeypatch):
     texts = list(random_texts(500)) * 3
     expected = [i.tolist() for i in bpe.Codec(JSON).encode(texts)]
-    monkeypatch.setattr(bpe, "REMEMBERED", 20)
     monkeypatch.setattr(bpe, "GROUP_CHARACTERS", 100)
-    assert [i.tolist() for i in bpe.Codec(JSON).encode(texts)] == expected
+    assert [i.tolist() for i in bpe.Codec(JSON, remember=20).encode(texts)] == expected
 
 
 def test_whole_documents(spark, docs, oracle):
