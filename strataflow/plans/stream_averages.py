@@ -42,7 +42,8 @@ def enriched_averages(
     """Averages over a stream of messages, whatever source they come from.
 
     Messages without a key are dropped. ``category`` names a column whose missing
-    labels are filled. ``hot`` keys are dealt out, see ``enrich_stream``. ``averages`` are options of ``running_averages``.
+    labels are filled. ``hot`` keys are dealt out, see ``enrich_stream``. ``averages`` are
+    options of ``running_averages``.
     """
     rows = decode_rows(messages, schema, required=key)
     if category is not None:
