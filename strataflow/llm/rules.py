@@ -156,7 +156,11 @@ class VoteModel:
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
         for vote, good, bad in zip(votes, self.given_good, self.given_bad, strict=True):
             ratio = {v: math.log(good[v] / bad[v]) for v in (BAD, ABSTAIN, GOOD)}
-            odds += F.when(vote == BAD, ratio[BAD]).when(vote == GOOD, ratio[GOOD]).otherwise(ratio[ABSTAIN])
+            odds += (
+                F.when(vote == BAD, ratio[BAD])
+                .when(vote == GOOD, ratio[GOOD])
+                .otherwise(ratio[ABSTAIN])
+            )
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
 
 
@@ -187,7 +191,9 @@ def fit_votes(votes: DataFrame, names: list[str], rounds: int = ROUNDS) -> VoteM
             in_good = {v: float(row[f"g{at}_{v}"] or 0.0) for v in (BAD, ABSTAIN, GOOD)}
             in_all = {v: float(row[f"n{at}_{v}"] or 0.0) for v in (BAD, ABSTAIN, GOOD)}
             given_good.append({v: (in_good[v] + 1) / (good + 3) for v in in_good})
-            given_bad.append({v: (in_all[v] - in_good[v] + 1) / (total - good + 3) for v in in_all})
+            given_bad.append(
+                {v: (in_all[v] - in_good[v] + 1) / (total - good + 3) for v in in_all}
+            )
         fresh = VoteModel((good + 1) / (total + 2), tuple(given_good), tuple(given_bad))
         settled = model is not None and abs(fresh.prior - model.prior) < 1e-9
         model = fresh

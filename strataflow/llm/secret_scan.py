@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import stage, whole, without
+from strataflow.llm.common import whole, without
 
 
 @dataclass(frozen=True)
@@ -57,10 +57,13 @@ def _spans(text: Column, rule: SecretRule) -> Column:
     """
     pattern = F.lit(rule.pattern)
     gaps = F.transform(F.split(text, rule.pattern, -1), lambda s: F.length(s))
+
+    def lengths(group: int) -> Column:
+        matches = F.regexp_extract_all(text, pattern, F.lit(group))
+        return F.transform(matches, lambda s: F.length(s))
+
     found = F.arrays_zip(
-        F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda s: F.length(s)).alias("long"),
-        F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), lambda s: F.length(s)).alias("part"),
-        gaps.alias("gap"),
+        lengths(0).alias("long"), lengths(rule.group).alias("part"), gaps.alias("gap")
     )
 
     def add(state: Column, step: Column) -> Column:
