@@ -14,6 +14,8 @@ from strataflow.llm.common import whole, without
 
 #: Labelled rows of either class that the model is fitted on, at most.
 ROWS_PER_CLASS = 3000
+#: Parts of those rows that are scored by a model of the others, for calibration.
+FOLDS = 3
 #: Documents whose score reaches this count as good.
 THRESHOLD = 0.7
 
@@ -162,7 +164,7 @@ def _calibrate(margins: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     """Slope and offset of the logistic curve through the margins (Platt, 1999)."""
     n_good, n_bad = good.sum(), (~good).sum()
     target = np.where(good, (n_good + 1) / (n_good + 2), 1 / (n_bad + 2))
-    weight = np.where(good, 0.5 / n_good, 0.5 / n_bad)
+    weight = np.full(len(good), 1 / len(good))
     slope, offset = 1.0, 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(slope * margins + offset, -30, 30)))
@@ -192,18 +194,15 @@ def fit(texts: list[str], good: np.ndarray, cost: float = 1.0, epochs: int = 30)
         rows.append((at, values / (np.sqrt(values @ values) or 1.0)))
     signs = np.where(good, 1.0, -1.0)
     costs = np.where(good, cost / good.mean(), cost / (1 - good.mean())) / 2
-    # Calibrated on margins of rows that the model did not see.
-    fold = np.arange(len(rows)) % 4 == 3
-    part = [r for r, out in zip(rows, fold, strict=True) if not out]
-    half = dual_coordinate_descent(part, signs[~fold], costs[~fold], epochs)
-    margins = np.array(
-        [half[at] @ v + half[-1] for (at, v), out in zip(rows, fold, strict=True) if out]
-    )
-    unseen = good[fold]
-    if unseen.all() or not unseen.any():
-        slope, offset = 2.0, 0.0
-    else:
-        slope, offset = _calibrate(margins, unseen)
+    # Calibrated on margins from models that did not see the row.
+    margins, fold = np.zeros(len(rows)), np.arange(len(rows)) % FOLDS
+    for k in range(FOLDS):
+        seen = [r for r, f in zip(rows, fold, strict=True) if f != k]
+        part = dual_coordinate_descent(seen, signs[fold != k], costs[fold != k], epochs)
+        for i in np.flatnonzero(fold == k):
+            at, values = rows[i]
+            margins[i] = part[at] @ values + part[-1]
+    slope, offset = _calibrate(margins, good)
     weights = dual_coordinate_descent(rows, signs, costs, epochs)
     return Model(np.stack([ratios, weights[:-1]]).astype(np.float32), weights[-1], slope, offset)
 
