@@ -49,6 +49,14 @@ def byte_characters() -> list[str]:
     return [chr(b) if prints[b] else chr(next(moved)) for b in range(256)]
 
 
+# Bytes, as Latin-1, to their characters; a line feed parts words and stays.
+_SHOWN = {b: c for b, c in enumerate(byte_characters()) if b != ord("\n")}
+
+
+def _is_latin(word: str) -> bool:
+    return word.isalpha() and (word.isascii() or max(word) <= _LAST_LATIN)
+
+
 def _tokenizer_of_ranks(path: str, pattern: str):
     """A tokenizer that merges as the rank file says: the pair with the lowest rank first.
 
@@ -130,8 +138,13 @@ class Codec:
     _loaded: dict[tuple, Codec] = {}
 
     def __init__(self, path: str, pattern: str | None = None, remember: int = REMEMBERED) -> None:
+        from tokenizers import Tokenizer, pre_tokenizers
+
         self.remember = remember
         self.tokenizer = load_tokenizer(path, pattern)
+        # The same merges for text that is cut up and mapped to characters already.
+        self._bare = Tokenizer(self.tokenizer.model)
+        self._bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self._words: dict[str, bytes] = {}
         self._pieces: dict[str, bytes] = {}
         self._ends = dict(zip(_ENDS, self._encode_apart(list(_ENDS)), strict=True))
@@ -154,7 +167,12 @@ class Codec:
         if not parts:
             return
         text = self.tokenizer.encode_batch_fast(["".join(parts)], add_special_tokens=False)[0]
-        ids = np.array(text.ids, "<u4")
+        yield from self._cut(np.array(text.ids, "<u4"), parts)
+
+    def _cut(self, ids: np.ndarray, parts: list[str]) -> Iterator[bytes]:
+        """The ids of each part, from those of all of them in order."""
+        if not parts:
+            return
         ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in parts])
         cuts = np.searchsorted(np.cumsum(self.widths[ids]), ends, side="left") + 1
         blob, start = ids.tobytes(), 0
@@ -162,6 +180,18 @@ class Codec:
             yield blob[start:cut]
             start = cut
 
+    def _encode_matches(self, words: list[str]) -> Iterator[bytes]:
+        """Ids of words of Latin letters, each with a blank before it.
+
+        Each is one match of the split pattern. Their bytes are mapped to characters here,
+        so the library only has to part them at line feeds and merge.
+        """
+        shown = "\n".join(words).encode().decode("latin-1").translate(_SHOWN)
+        blank = _SHOWN[ord(" ")]
+        text = blank + shown.replace("\n", "\n" + blank) if words else ""
+        found = self._bare.encode_batch_fast([text], add_special_tokens=False)[0]
+        yield from self._cut(np.array(found.ids, "<u4"), [" " + w for w in words])
+
     def _encode_apart(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(f.ids, "<u4").tobytes() for f in found]
@@ -178,7 +208,7 @@ class Codec:
         new: set[str] = set()
         for pieces in cut:
             new.update(pieces)
-        new.difference_update(self._pieces)
+        new = new.difference(self._pieces)  # looks up the new ones, not all that are known
         together = [p for p in new if p[0] in _SPACES and p[-1] not in _SPACES]
         apart = list(new.difference(together))
         self._pieces.update(zip(together, self._encode_together(together), strict=True))
@@ -191,15 +221,15 @@ class Codec:
         words = self._words
         plain, marked, other = [], [], []
         for word in new:
-            if word.isalpha():
+            if _is_latin(word):
                 plain.append(word)
-            elif word[-1:] in _ENDS and word[:-1].isalpha() and word[-2] <= _LAST_LATIN:
+            elif word[-1:] in _ENDS and _is_latin(word[:-1]):
                 marked.append(word)
             else:
                 other.append(word)
         stems = {w[:-1] for w in marked}.difference(words, plain)
         plain.extend(stems)
-        words.update(zip(plain, self._encode_together([" " + w for w in plain]), strict=True))
+        words.update(zip(plain, self._encode_matches(plain), strict=True))
         ends = self._ends
         for word in marked:
             words[word] = words[word[:-1]] + ends[word[-1]]
