@@ -244,23 +244,26 @@ class Codec:
         results: list[np.ndarray] = []
         for at, stop in self._groups(texts):
             self._words = _trimmed(self._words, self.remember)
-            group: list[list[str] | None] = []
+            group: list[tuple[list[str], list[bytes | None], list[int]]] = []
             heads: list[str] = []
             new: set[str] = set()
+            known = self._words.get
             for text in texts[at:stop]:
                 if any(pair in text for pair in _BLANK_AFTER_SPACE):
                     heads.append(text)
-                    group.append(None)
+                    group.append(([], [], []))
                     continue
                 head, *rest = text.split(" ")
                 heads.append(head)
-                group.append(rest)
-                new |= set(rest).difference(self._words)
+                found = list(map(known, rest))
+                lacking = [k for k, ids in enumerate(found) if ids is None] if None in found else []
+                new.update(rest[k] for k in lacking)
+                group.append((rest, found, lacking))
             self._learn_words(new)
-            known = self._words.__getitem__
-            for head, rest in zip(self._by_pieces(heads), group, strict=True):
-                whole = head + b"".join(map(known, rest)) if rest else head
-                results.append(np.frombuffer(whole, "<u4"))
+            for head, (rest, found, lacking) in zip(self._by_pieces(heads), group, strict=True):
+                for k in lacking:
+                    found[k] = self._words[rest[k]]
+                results.append(np.frombuffer(b"".join([head, *found]), "<u4"))
         return results
 
     @staticmethod
