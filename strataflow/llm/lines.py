@@ -9,6 +9,9 @@ from strataflow.llm.common import stage, whole, without, words
 
 #: Different texts that a template has to occur in to count as recurring.
 MIN_DOCUMENTS = 5
+#: From so many tokens a line is a passage: it recurs, word for word, from so many texts.
+LONG_TOKENS = 20
+LONG_DOCUMENTS = 2
 #: Leading tokens that choose the branch below the token count.
 DEPTH = 3
 #: A line may differ from its template in one field if that leaves this share of its tokens.
@@ -51,12 +54,15 @@ def _lines(docs: DataFrame, depth: int, similarity: float) -> DataFrame:
     placed = docs.select(
         "doc_id", F.xxhash64(text).alias("digest"), F.posexplode(F.split(text, "\n"))
     )
-    parsed = placed.select("doc_id", "digest", "pos", _tokens(F.col("col")).alias("tokens"))
+    parsed = placed.select(
+        "doc_id", "digest", "pos", _tokens(F.col("col")).alias("tokens"), words(F.col("col")).alias("plain")
+    )
     return (
         parsed.where(F.size(tokens) > 0)
         .withColumn("leaf", F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth)))
         .withColumn("templates", _templates(tokens, F.col("leaf"), similarity))
-        .drop("tokens")
+        .withColumn("passage", F.when(F.size(tokens) >= LONG_TOKENS, F.xxhash64("plain")))
+        .drop("tokens", "plain")
     )
 
 
@@ -79,33 +85,42 @@ def _recurring(found: DataFrame, key: str, min_documents: int) -> DataFrame:
     )
 
 
-def _repeats(docs: DataFrame, min_documents: int, depth: int, similarity: float) -> DataFrame:
+def _after_first(lines: DataFrame, min_documents: int, label: str) -> DataFrame:
+    """The lines of recurring templates outside the first document of each."""
+    recurring = stage(
+        _recurring(lines, "template", min_documents).select("template", "first"), label
+    )
+    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
+        F.col("digest") == F.col("first.digest")
+    )
+    return lines.join(recurring, "template").where(~is_first).select("doc_id", "digest", "pos")
+
+
+def _repeats(
+    docs: DataFrame, min_documents: int | None, depth: int, similarity: float
+) -> DataFrame:
     """For each text with lines to drop, their places."""
+    least = MIN_DOCUMENTS if min_documents is None else min_documents
     found = stage(_lines(docs, depth, similarity), "lines")
     # A template lies in one leaf, so only leaves of enough texts can hold a recurring one.
     # Both lists of keys are written out: a join with them as they come would be bound to
     # their partitioning, and Spark could not split a hot line.
-    crowded = stage(_recurring(found, "leaf", min_documents).select("leaf"), "leaves")
+    crowded = stage(_recurring(found, "leaf", least).select("leaf"), "leaves")
     lines = found.join(crowded, "leaf").select(
         "doc_id", "digest", "pos", F.explode("templates").alias("template")
     )
-    recurring = stage(
-        _recurring(lines, "template", min_documents).select("template", "first"), "templates"
-    )
-    is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
-        F.col("digest") == F.col("first.digest")
-    )
-    return (
-        lines.join(recurring, "template")
-        .where(~is_first)
-        .groupBy("doc_id", "digest")
-        .agg(F.collect_set("pos").alias("places"))
-    )
+    dropped = _after_first(lines, least, "templates")
+    if min_documents is None:
+        passages = found.where(F.col("passage").isNotNull()).select(
+            "doc_id", "digest", "pos", F.col("passage").alias("template")
+        )
+        dropped = dropped.unionByName(_after_first(passages, LONG_DOCUMENTS, "passages"))
+    return dropped.groupBy("doc_id", "digest").agg(F.collect_set("pos").alias("places"))
 
 
 def drop_recurring_lines(
     docs: DataFrame,
-    min_documents: int = MIN_DOCUMENTS,
+    min_documents: int | None = None,
     depth: int = DEPTH,
     similarity: float = SIMILARITY,
     copy_share: float = COPY_SHARE,
@@ -116,9 +131,11 @@ def drop_recurring_lines(
     ``depth`` tokens, where a token with a digit is a variable field. Lines of a leaf that
     agree in all tokens share a template; so do longer lines that agree outside one
     window of tokens, which is then a variable field, where the windows tile the line and
-    leave ``similarity`` of it. A template in at least ``min_documents`` different texts
-    recurs: its lines are dropped everywhere but in the first document (smallest doc_id,
-    NULL last) that has it. A text that would lose more than ``copy_share`` of its
+    leave ``similarity`` of it. A template in at least MIN_DOCUMENTS different texts
+    recurs, and so does a passage, a line of LONG_TOKENS or more, whose words are the same
+    in LONG_DOCUMENTS; ``min_documents``, if given, holds for lines of any length instead.
+    Such lines are dropped everywhere but in the first document (smallest doc_id,
+    NULL last) that has the template. A text that would lose more than ``copy_share`` of its
     characters repeats another one rather than hosts boilerplate; it is left whole, for
     the near-dedup of documents to judge.
 

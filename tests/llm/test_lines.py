@@ -91,3 +91,13 @@ def test_columns_pass_through(docs):
 
 def test_empty_table(docs):
     assert lines.drop_recurring_lines(docs([])).count() == 0
+
+
+def test_a_passage_of_two_texts_recurs(docs):
+    passage = " ".join(f"{a}{b}" for a in "abcdef" for b in "qrstuvwxyz")
+    more = "more words of its own " * 9
+    numbers = " ".join(["row"] + ["{}"] * 30)
+    rows = [(1, f"one of its own\n{passage}"), (2, f"{passage}\nanother with {more}\nshort line")]
+    rows += [(3, "third text\nshort line"), (4, numbers.format(*range(30)) + "\nfour"), (5, numbers.format(*range(9, 39)) + "\nfive")]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in lines.drop_recurring_lines(docs(rows)).collect()}
+    assert got == {i: (t, 0) for i, t in rows} | {2: (f"another with {more}\nshort line", 1)}
