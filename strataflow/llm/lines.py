@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import stage, whole, without, words
+from strataflow.llm.common import WORD_PATTERN, stage, whole, without, words
 
 #: Different texts that a template has to occur in to count as recurring.
 MIN_DOCUMENTS = 5
@@ -16,8 +16,6 @@ LONG_DOCUMENTS = 2
 DEPTH = 3
 #: A line may differ from its template in one field if that leaves this share of its tokens.
 SIMILARITY = 0.8
-#: A text that would lose more than this share of its characters is a copy, not a host.
-COPY_SHARE = 0.8
 FIELD = "<*>"
 
 
@@ -123,7 +121,6 @@ def drop_recurring_lines(
     min_documents: int | None = None,
     depth: int = DEPTH,
     similarity: float = SIMILARITY,
-    copy_share: float = COPY_SHARE,
 ) -> DataFrame:
     """Every row with recurring lines cut from ``text``, and ``n_lines`` and ``n_dropped``.
 
@@ -135,8 +132,8 @@ def drop_recurring_lines(
     recurs, and so does a passage, a line of LONG_TOKENS or more, whose words are the same
     in LONG_DOCUMENTS; ``min_documents``, if given, holds for lines of any length instead.
     Such lines are dropped everywhere but in the first document (smallest doc_id,
-    NULL last) that has the template. A text that would lose more than ``copy_share`` of its
-    characters repeats another one rather than hosts boilerplate; it is left whole, for
+    NULL last) that has the template. A text of which no
+    word would remain repeats others rather than hosts boilerplate; it is left whole, for
     the near-dedup of documents to judge.
 
     Lines end at a line feed; those without a word stay. A NULL text stays NULL with no
@@ -163,7 +160,7 @@ def drop_recurring_lines(
         "cut", F.when(F.col("places").isNotNull(), F.array_join(rest, "\n"))
     ).withColumn(
         "hosts",
-        F.coalesce(F.length("cut") >= F.length(text) * F.lit(1 - copy_share), F.lit(False)),
+        F.coalesce(F.col("cut").rlike(WORD_PATTERN), F.lit(False)),
     )
     changed = {"text": F.when(F.col("hosts"), F.col("cut")).otherwise(text)}
     if "n_chars" in kept_rows.columns:

@@ -101,3 +101,12 @@ def test_a_passage_of_two_texts_recurs(docs):
     rows += [(3, "third text\nshort line"), (4, numbers.format(*range(30)) + "\nfour"), (5, numbers.format(*range(9, 39)) + "\nfive")]
     got = {r.doc_id: (r.text, r.n_dropped) for r in lines.drop_recurring_lines(docs(rows)).collect()}
     assert got == {i: (t, 0) for i, t in rows} | {2: (f"another with {more}\nshort line", 1)}
+
+
+def test_a_text_of_mostly_boilerplate_is_cut_to_its_own_lines(docs):
+    shared = [f"boilerplate of the kind {c * 4} that {c * 3} pages show" for c in "abcdefgh"]
+    rows = [(k, "\n".join([*shared, "own " + "xyzuvw"[k] * 9])) for k in range(6)]
+    rows.append((9, "\n".join(shared)))
+    got = {r.doc_id: (r.text, r.n_dropped) for r in lines.drop_recurring_lines(docs(rows)).collect()}
+    assert got[0] == (rows[0][1], 0) and got[9] == (rows[-1][1], 0)
+    assert all(got[k] == ("own " + "xyzuvw"[k] * 9, 8) for k in range(1, 6))
