@@ -59,11 +59,47 @@ def _lines(docs: DataFrame, depth: int, similarity: float) -> DataFrame:
         parsed.where(F.size(tokens) > 0)
         .withColumn("leaf", F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth)))
         .withColumn("templates", _templates(tokens, F.col("leaf"), similarity))
+        .withColumn("hashes", F.transform(tokens, lambda token: F.hash(token)))
         .withColumn("passage", F.when(F.size(tokens) >= LONG_TOKENS, F.xxhash64("plain")))
         .drop("tokens", "plain")
     )
 
 
+def _with_fields(lines: DataFrame, similarity: float) -> DataFrame:
+    """The lines with a template in which their rarest tokens are variable fields.
+
+    A token is as rare as its leaf has it at its position, counted over different texts'
+    lines. As many of a line become fields as ``similarity`` leaves free, wherever they
+    are; ties go to the earlier position.
+    """
+    once = lines.where(F.size("hashes") >= round(1 / (1 - similarity))).select(
+        "leaf", "digest", "hashes"
+    ).distinct()
+    counts = stage(
+        once.select("leaf", F.posexplode("hashes").alias("at", "hash"))
+        .groupBy("leaf", "at", "hash")
+        .agg(F.count(F.lit(1)).alias("many")),
+        "line-tokens",
+    )
+    kinds = stage(once.select("leaf", "hashes").distinct(), "line-kinds")
+    free = F.floor(F.size("by_rarity") * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
+    rarest = F.transform(F.slice("by_rarity", F.lit(1), free), lambda token: token["at"])
+    rest = F.filter("by_rarity", lambda token: ~F.array_contains(rarest, token["at"]))
+    masked = (
+        kinds.withColumn("kind", F.xxhash64("leaf", "hashes"))
+        .select("kind", "leaf", F.posexplode("hashes").alias("at", "hash"))
+        .join(counts, ["leaf", "at", "hash"])
+        .groupBy("kind", "leaf")
+        .agg(F.array_sort(F.collect_list(F.struct("many", "at", "hash"))).alias("by_rarity"))
+        .withColumn("kept", F.array_sort(F.transform(rest, lambda token: F.struct(token["at"], token["hash"]))))
+        .select("kind", F.xxhash64("leaf", F.lit(-3), "kept").alias("template"))
+    )
+    masked = stage(masked, "line-masks")
+    return lines.select(
+        "doc_id", "digest", "pos", F.xxhash64("leaf", "hashes").alias("kind")
+    ).join(masked, "kind").drop("kind")
+
+
 def _recurring(found: DataFrame, key: str, min_documents: int) -> DataFrame:
     """Keys that occur in enough different texts, with the first document that has each.
 
@@ -104,9 +140,9 @@ def _repeats(
     # Both lists of keys are written out: a join with them as they come would be bound to
     # their partitioning, and Spark could not split a hot line.
     crowded = stage(_recurring(found, "leaf", least).select("leaf"), "leaves")
-    lines = found.join(crowded, "leaf").select(
-        "doc_id", "digest", "pos", F.explode("templates").alias("template")
-    )
+    inside = stage(found.join(crowded, "leaf"), "crowded-lines")
+    lines = inside.select("doc_id", "digest", "pos", F.explode("templates").alias("template"))
+    lines = lines.unionByName(_with_fields(inside, similarity))
     dropped = _after_first(lines, least, "templates")
     if min_documents is None:
         passages = found.where(F.col("passage").isNotNull()).select(
@@ -128,7 +164,8 @@ def drop_recurring_lines(
     ``depth`` tokens, where a token with a digit is a variable field. Lines of a leaf that
     agree in all tokens share a template; so do longer lines that agree outside one
     window of tokens, which is then a variable field, where the windows tile the line and
-    leave ``similarity`` of it. A template in at least MIN_DOCUMENTS different texts
+    leave ``similarity`` of it; and so do those that agree outside their rarest tokens,
+    as many as that leaves, which may be several fields anywhere. A template in at least MIN_DOCUMENTS different texts
     recurs, and so does a passage, a line of LONG_TOKENS or more, whose words are the same
     in LONG_DOCUMENTS; ``min_documents``, if given, holds for lines of any length instead.
     Such lines are dropped everywhere but in the first document (smallest doc_id,

@@ -110,3 +110,20 @@ def test_a_text_of_mostly_boilerplate_is_cut_to_its_own_lines(docs):
     got = {r.doc_id: (r.text, r.n_dropped) for r in lines.drop_recurring_lines(docs(rows)).collect()}
     assert got[0] == (rows[0][1], 0) and got[9] == (rows[-1][1], 0)
     assert all(got[k] == ("own " + "xyzuvw"[k] * 9, 8) for k in range(1, 6))
+
+
+@pytest.mark.parametrize(
+    "form",
+    [
+        "Posted on this day by {0} in the {1} forum of the board of all our members",
+        "Here is what our {0} {1} wrote to us about the last days",
+    ],
+)
+def test_fields_may_be_several_and_anywhere(docs, form):
+    names = ["anna", "bert", "carl", "dora", "emil", "fritz", "gerd"]
+    rows = [
+        (k, f"own {n}\n{form.format(n, names[k - 3] + 'ish')}")
+        for k, n in enumerate(names)
+    ]
+    got = {r.doc_id: r.n_dropped for r in lines.drop_recurring_lines(docs(rows)).collect()}
+    assert got == {0: 0} | dict.fromkeys(range(1, 7), 1)
