@@ -21,6 +21,7 @@ from strataflow.llm import (
     simhash,
     token_files,
     vectors,
+    word_bpe,
 )
 from strataflow.session import scratch_path
 
@@ -124,6 +125,17 @@ def op10_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("vec_id", "n_links", "component_id", "kept")
 
 
+def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoded = word_bpe.encode(_documents(spark, sf_dir).select("doc_id", "text"), path)
+    return word_bpe.decode(encoded.drop("text"), path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_rules": op2_rules,
@@ -135,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "op8_histogram_sort": op8_histogram_sort,
     "op9_quality": op9_quality,
     "op10_vectors": op10_vectors,
+    "op11_word_bpe": op11_word_bpe,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op4_secrets": oracles.SECRETS, "op5_mixing": oracles.MIXING}

@@ -22,6 +22,7 @@ COLUMNS = {
     ],
     "op9_quality": ["doc_id", "held_out", "score", "predicted"],
     "op10_vectors": ["vec_id", "n_links", "component_id", "kept"],
+    "op11_word_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
