@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import corpus_pipeline
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from strataflow.llm import (
     bpe,
     lines,
+    merkle,
     mixing,
     oracles,
     quality,
@@ -136,6 +138,27 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    docs = _documents(spark, sf_dir).select(*fields)
+    leaf = merkle.leaf_digest([F.col(f) for f in fields])
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    forged = merkle.leaf_digest([*map(F.col, fields[:-1]), lowered])
+    struck = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    made = merkle.manifest(
+        docs, leaf, "lang", "doc_id", ["doc_id", F.when(struck, forged).alias("forged")]
+    )
+    folded = merkle.fold("path", F.coalesce("forged", "leaf"))
+    return made.rows.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest("path").alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash": op1_simhash,
     "op2_rules": op2_rules,
@@ -148,6 +171,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_vectors": op10_vectors,
     "op11_word_bpe": op11_word_bpe,
+    "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {"op4_secrets": oracles.SECRETS, "op5_mixing": oracles.MIXING}

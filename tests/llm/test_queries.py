@@ -22,6 +22,9 @@ COLUMNS = {
     ],
     "op9_quality": ["doc_id", "held_out", "score", "predicted"],
     "op10_vectors": ["vec_id", "n_links", "component_id", "kept"],
+    "op13_merkle": [
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified",
+    ],
     "op11_word_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
