@@ -76,7 +76,7 @@ def rebuilt(conversations: DataFrame, fan: int = 5, most: int = 9) -> tuple[Data
         .agg(F.collect_list("m").alias("family"))  # fewer than 2 * fan
     )
     n_base = F.coalesce(
-        F.filter("family", lambda m: m["conv_id"] == F.col("base"))[0]["n"], F.lit(0)
+        F.get(F.filter("family", lambda m: m["conv_id"] == F.col("base")), F.lit(0))["n"], F.lit(0)
     )
     sized = family.withColumn("n_base", n_base).withColumn(
         "family",
@@ -192,7 +192,7 @@ def _deal(block: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
             if not batch.num_rows:
                 continue
             sizes = pa.compute.list_value_length(batch.column("turns")).to_numpy() + 1
-            blk = (used + np.cumsum(sizes) - 1) // block
+            blk = (used + np.cumsum(sizes) - sizes) // block
             yield out(batch, blk, at + np.arange(len(blk)))
             if last is not None and blk[0] != last_blk:
                 yield out(last, blk[:1], np.array([-1]))
@@ -212,7 +212,6 @@ def _blocks(segments: DataFrame, block: int) -> DataFrame:
     order = [
         F.col("more").desc() if name == "more" else F.col(name).asc() for name in _SEGMENT
     ]
-    spark = segments.sparkSession
     ordered = segments.repartitionByRange(*order).sortWithinPartitions(*order)
     columns = [c.split()[0] for c in _PLACED.split(", ")][3:]
     placed = stage(ordered.select(*columns).mapInArrow(_deal(block), _PLACED), "trie-sorted")
@@ -225,7 +224,6 @@ def _blocks(segments: DataFrame, block: int) -> DataFrame:
         .withColumn("blk", F.lit(0))
         .select(*placed.columns)
     )
-    del spark
     return placed.where("blk >= 0").unionByName(handed)
 
 
@@ -455,19 +453,20 @@ def _digest_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _gains(parts: DataFrame, segments: DataFrame, segment: int) -> DataFrame:
     """What later segments of a sequence add to the prefixes that end in its earlier ones."""
-    later = Window.partitionBy("seq").orderBy(F.col("seg").desc()).rowsBetween(
-        Window.unboundedPreceding, 0
+    later = Window.partitionBy("seq").orderBy(F.col("seg").desc())
+    gains = (
+        parts.where("gain")
+        .select(F.col("low").alias("seq"), (F.col("depth") - 1).alias("seg"), "saved", "leaves")
+        .withColumn("saved", F.sum("saved").over(later))
+        .withColumn("leaves", F.sum("leaves").over(later))
     )
-    gains = parts.where("gain").select(
-        F.col("low").alias("seq"),
-        (F.col("depth") - 1).alias("seg"),
-        F.sum("saved").over(later.orderBy(F.col("depth").desc())).alias("saved"),
-        F.sum("leaves").over(later.orderBy(F.col("depth").desc())).alias("leaves"),
-    )
-    return None if gains is None else segments.where("more").join(gains, ["seq", "seg"]).select(
-        "seg", "top_a", "top_b", "turns", "saved", "leaves"
-    ).mapInArrow(
-        _spread(segment), "a bigint, b bigint, depth bigint, saved bigint, leaves bigint"
+    return (
+        segments.where("more")
+        .join(gains, ["seq", "seg"])
+        .select("seg", "top_a", "top_b", "turns", "saved", "leaves")
+        .mapInArrow(
+            _spread(segment), "a bigint, b bigint, depth bigint, saved bigint, leaves bigint"
+        )
     )
 
 

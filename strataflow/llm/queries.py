@@ -16,6 +16,7 @@ from strataflow.llm import (
     merkle,
     mixing,
     oracles,
+    prefix_trie,
     quality,
     rules,
     secret_scan,
@@ -138,6 +139,13 @@ def op11_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return prefix_trie.prefix_nodes(
+        *prefix_trie.rebuilt(rows.select("conv_id", "turn", "role", "text"))
+    )
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ("doc_id", "source", "lang", "n_chars", "text")
     docs = _documents(spark, sf_dir).select(*fields)
@@ -171,6 +179,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality": op9_quality,
     "op10_vectors": op10_vectors,
     "op11_word_bpe": op11_word_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_merkle": op13_merkle,
     "pipeline": corpus_pipeline.run,
 }
