@@ -19,50 +19,51 @@ SIMILARITY = 0.8
 FIELD = "<*>"
 
 
-def _tokens(line: Column) -> Column:
-    """The tokens of a line, those with a digit as a field."""
+def _masked(token: Column) -> Column:
+    return F.when(token.rlike("[0-9]"), F.lit(FIELD)).otherwise(token)
 
-    def masked(token: Column) -> Column:
-        return F.when(token.rlike("[0-9]"), F.lit(FIELD)).otherwise(token)
 
-    plain = words(line)
-    return F.when(line.rlike("[0-9]"), F.transform(plain, masked)).otherwise(plain)
-
-
-def _templates(tokens: Column, leaf: Column, similarity: float) -> Column:
+def _templates(similarity: float) -> Column:
     """Hashes of the line's templates: all tokens, then all but one window of them.
 
     The windows tile the line, each with as many tokens as ``similarity`` leaves free.
     """
-    size = F.size(tokens)
-    windows = round(1 / (1 - similarity))
+    size, windows = F.size("hashes"), round(1 / (1 - similarity))
     loose = []
     for k in range(windows):
         low = F.floor(size * k / windows).cast("int")
         high = F.floor(size * (k + 1) / windows).cast("int")
-        head, tail = F.slice(tokens, F.lit(1), low), F.slice(tokens, high + 1, size - high)
-        loose.append(F.xxhash64(leaf, F.lit(k), head, tail))
-    exact = F.xxhash64(leaf, F.lit(-1), tokens)
-    return F.when(size >= windows, F.array(exact, *loose)).otherwise(F.array(exact))
+        head, tail = F.slice("hashes", F.lit(1), low), F.slice("hashes", high + 1, size - high)
+        loose.append(F.xxhash64("leaf", F.lit(k), head, tail))
+    return F.when(size >= windows, F.array("exact", *loose)).otherwise(F.array("exact"))
 
 
-def _lines(docs: DataFrame, depth: int, similarity: float) -> DataFrame:
-    """Every line with a word: the key of its text, its place, its leaf and its templates."""
+def _lines(docs: DataFrame, depth: int) -> DataFrame:
+    """Every line with a word: the key of its text, its place, its leaf and its tokens' hashes.
+
+    Each step is a select of its own, so that Spark hashes a text below the explode, once
+    and not for each line, and builds a line's tokens once.
+    """
     text, tokens = whole("text"), F.col("tokens")
-    placed = docs.select(
-        "doc_id", F.xxhash64(text).alias("digest"), F.posexplode(F.split(text, "\n"))
-    )
-    parsed = placed.select(
-        "doc_id", "digest", "pos", _tokens(F.col("col")).alias("tokens"), words(F.col("col")).alias("plain")
-    )
-    return (
-        parsed.where(F.size(tokens) > 0)
-        .withColumn("leaf", F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth)))
-        .withColumn("templates", _templates(tokens, F.col("leaf"), similarity))
-        .withColumn("hashes", F.transform(tokens, lambda token: F.hash(token)))
-        .withColumn("passage", F.when(F.size(tokens) >= LONG_TOKENS, F.xxhash64("plain")))
-        .drop("tokens", "plain")
+    texts = docs.select(
+        "doc_id", F.xxhash64(text).alias("digest"), F.split(text, "\n").alias("lines")
     )
+    placed = texts.select("doc_id", "digest", F.posexplode("lines").alias("pos", "line"))
+    plain = placed.where(F.col("line").rlike(WORD_PATTERN)).select(
+        "doc_id", "digest", "pos", words(F.col("line")).alias("plain"),
+        F.col("line").rlike("[0-9]").alias("masks"),
+    )
+    parsed = plain.select(
+        "doc_id", "digest", "pos",
+        F.when(F.col("masks"), F.transform("plain", _masked)).otherwise(F.col("plain")).alias("tokens"),
+        F.when(F.size("plain") >= LONG_TOKENS, F.xxhash64("plain")).alias("passage"),
+    )
+    return parsed.select(
+        "doc_id", "digest", "pos", "passage",
+        F.xxhash64(F.size(tokens), F.slice(tokens, 1, depth)).alias("leaf"),
+        F.xxhash64(tokens).alias("exact"),
+        F.transform(tokens, lambda token: F.hash(token)).alias("hashes"),
+    )
 
 
 def _with_fields(lines: DataFrame, similarity: float) -> DataFrame:
@@ -83,8 +84,7 @@ def _with_fields(lines: DataFrame, similarity: float) -> DataFrame:
     )
     kinds = stage(once.select("leaf", "hashes").distinct(), "line-kinds")
     free = F.floor(F.size("by_rarity") * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
-    rarest = F.transform(F.slice("by_rarity", F.lit(1), free), lambda token: token["at"])
-    rest = F.filter("by_rarity", lambda token: ~F.array_contains(rarest, token["at"]))
+    rest = F.slice("by_rarity", free + 1, F.size("by_rarity") - free)
     masked = (
         kinds.withColumn("kind", F.xxhash64("leaf", "hashes"))
         .select("kind", "leaf", F.posexplode("hashes").alias("at", "hash"))
@@ -135,12 +135,15 @@ def _repeats(
 ) -> DataFrame:
     """For each text with lines to drop, their places."""
     least = MIN_DOCUMENTS if min_documents is None else min_documents
-    found = stage(_lines(docs, depth, similarity), "lines")
+    found = stage(_lines(docs, depth), "lines")
     # A template lies in one leaf, so only leaves of enough texts can hold a recurring one.
     # Both lists of keys are written out: a join with them as they come would be bound to
     # their partitioning, and Spark could not split a hot line.
     crowded = stage(_recurring(found, "leaf", least).select("leaf"), "leaves")
-    inside = stage(found.join(crowded, "leaf"), "crowded-lines")
+    inside = stage(
+        found.drop("passage").join(crowded, "leaf").withColumn("templates", _templates(similarity)),
+        "crowded-lines",
+    )
     lines = inside.select("doc_id", "digest", "pos", F.explode("templates").alias("template"))
     lines = lines.unionByName(_with_fields(inside, similarity))
     dropped = _after_first(lines, least, "templates")
@@ -191,9 +194,11 @@ def drop_recurring_lines(
         F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("text_digest") == F.col("digest")),
         "left",
     )
-    text, found = F.col("doc.text"), F.split("doc.text", "\n")
-    rest = F.filter(found, lambda line, at: ~F.array_contains(F.col("places"), at))
-    cut = joined.withColumn(
+    text, found = F.col("doc.text"), F.col("lines")
+    # Looking up each line among the places would take lines times places.
+    stay = F.array_except(F.sequence(F.lit(0), F.size(found) - 1), "places")
+    rest = F.transform(stay, lambda at: F.get(found, at))
+    cut = joined.withColumn("lines", F.split(text, "\n")).withColumn(
         "cut", F.when(F.col("places").isNotNull(), F.array_join(rest, "\n"))
     ).withColumn(
         "hosts",

@@ -127,3 +127,17 @@ def test_fields_may_be_several_and_anywhere(docs, form):
     ]
     got = {r.doc_id: r.n_dropped for r in lines.drop_recurring_lines(docs(rows)).collect()}
     assert got == {0: 0} | dict.fromkeys(range(1, 7), 1)
+
+
+def test_texts_of_many_lines_take_time_in_proportion(docs):
+    shared = [f"shared line {'abcdefghij'[k % 10]} {'x' * (k % 97)} {'y' * (k // 97)}" for k in range(20_000)]
+    rows = [(k, "\n".join(["own " + "xyzuvw"[k] * 9, *shared])) for k in range(6)]
+    got = {r.doc_id: (r.text, r.n_dropped) for r in lines.drop_recurring_lines(docs(rows)).collect()}
+    assert got[0] == (rows[0][1], 0)
+    assert all(got[k] == ("own " + "xyzuvw"[k] * 9, 20_000) for k in range(1, 6))
+
+
+def test_a_line_of_very_many_words(docs):
+    line = " ".join("abcdefghij"[k % 10] * (k % 13 + 1) for k in range(100_000))
+    got = {r.doc_id: r.n_dropped for r in lines.drop_recurring_lines(docs([(1, f"one\n{line}"), (2, f"two\n{line}")])).collect()}
+    assert got == {1: 0, 2: 1}
