@@ -130,47 +130,55 @@ def _unpack(packed: bytes) -> np.ndarray:
 def _tokens(
     docs: DataFrame, tokenizer: str, pattern: str | None, end_id: int, remember: int
 ) -> DataFrame:
-    def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        ids = Codec.of(tokenizer, pattern, remember).encode(texts)
-        end = np.array([end_id], "<u4")
-        packed = [_pack(np.concatenate((i, end))) for i in ids]
-        return {"text": pa.nulls(len(texts), pa.string()), "packed": pa.array(packed, pa.binary())}
+    """A row for each document, and behind those of each task a ``tally`` of all their ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << 16, np.int64)
+
+        def add(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+            nonlocal counts
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            ids = Codec.of(tokenizer, pattern, remember).encode(texts)
+            end = np.array([end_id], "<u4")
+            packed = [_pack(np.concatenate((i, end))) for i in ids]
+            found = np.bincount(np.concatenate((*ids, end)), minlength=len(counts))
+            found[end_id] += len(ids) - 1
+            found[: len(counts)] += counts
+            counts = found
+            n = len(texts)
+            return {
+                "text": pa.nulls(n, pa.string()),
+                "packed": pa.array(packed, pa.binary()),
+                "tally": pa.nulls(n, _TALLY),
+            }
+
+        yield from over_batches(add, text_sizes)(batches)
+        ids = np.flatnonzero(counts)
+        if len(ids):
+            pairs = pa.StructArray.from_arrays([pa.array(ids), pa.array(counts[ids])], ["id", "n"])
+            tally = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), pairs)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), pa.nulls(1, pa.binary()), tally],
+                ["doc_id", "text", "packed", "tally"],
+            )
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return (
-        rows.mapInArrow(over_batches(add, text_sizes), "doc_id long, text string, packed binary")
+        rows.mapInArrow(
+            run, "doc_id long, text string, packed binary, tally array<struct<id: long, n: long>>"
+        )
         .drop("text")
         .withColumn("_row", F.monotonically_increasing_id())
     )
 
 
-def _histogram(tokens: DataFrame) -> dict[int, int]:
-    """Number of occurrences of each id in the whole corpus: one entry per id of the vocabulary."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << 16, np.int64)
-        held: list[np.ndarray] = []
-
-        def add() -> None:
-            nonlocal counts
-            if held:
-                found = np.bincount(np.concatenate(held), minlength=len(counts))
-                found[: len(counts)] += counts
-                counts = found
-                held.clear()
+_TALLY = pa.list_(pa.struct([("id", pa.int64()), ("n", pa.int64())]))
 
-        for batch in batches:
-            for packed in batch.column("packed"):
-                held.append(_unpack(packed.as_py()))
-                if sum(map(len, held[-64:])) > BLOCK_TOKENS or len(held) >= 256:
-                    add()
-        add()
-        ids = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(counts[ids])], ["id", "n"])
 
-    parts = tokens.select("packed").mapInArrow(count, "id long, n long")
-    return {r["id"]: r["n"] for r in parts.groupBy("id").agg(F.sum("n").alias("n")).collect()}
+def _histogram(tokens: DataFrame) -> dict[int, int]:
+    """Number of occurrences of each id in the whole corpus: one entry per id of the vocabulary."""
+    counts = tokens.where("tally IS NOT NULL").select(F.inline("tally"))
+    return {r["id"]: r["n"] for r in counts.groupBy("id").agg(F.sum("n").alias("n")).collect()}
 
 
 def _blocks(table: Table):
@@ -255,7 +263,8 @@ def write_tokens(
     ids, frequencies = normal_frequencies(_histogram(tokens))
     rows = [(int(i), int(f)) for i, f in zip(ids, frequencies, strict=True)]
     spark.createDataFrame(rows, "id long, frequency long").coalesce(1).write.parquet(f"{path}/table")
-    ordered = tokens.repartitionByRange("doc_id", "_row").sortWithinPartitions("doc_id", "_row")
+    rows = tokens.where("tally IS NULL").select("doc_id", "packed", "_row")
+    ordered = rows.repartitionByRange("doc_id", "_row").sortWithinPartitions("doc_id", "_row")
     blocks = ordered.select("doc_id", "packed").mapInArrow(_blocks(Table(ids, frequencies)), _BLOCK)
     blocks.write.option("compression", "none").parquet(f"{path}/blocks")
 
