@@ -15,6 +15,7 @@ from strataflow.operators.upsert import HITS, count_hits, upsert_counter
 from strataflow.session import scratch_path
 from strataflow.sinks.snapshots import (
     current_snapshot,
+    has_snapshot,
     read_snapshot,
     remove_path,
     write_snapshot,
@@ -52,13 +53,18 @@ def apply_hits(
     replaces the table meanwhile, ``SnapshotConflict`` is raised and no hit is lost.
 
     A ``batch_id``, 1 or more and rising, makes a batch count once: one that the table
-    already has changes nothing. A table takes batches either with ids or without.
+    already has changes nothing. One that a later batch has overtaken is refused with
+    ``ValueError``, and of two batches that read the same version one with
+    ``SnapshotConflict``: run again, it goes on from the other's. A table takes batches
+    either with ids or without.
     """
     spark = hits.sparkSession
     current = current_snapshot(spark, root)
     if batch_id is not None and current is not None and batch_id <= current:
+        if not has_snapshot(spark, root, batch_id):
+            raise ValueError(f"batch {batch_id} is older than version {current} of {root}")
         return
-    stored = read_snapshot(spark, root)
+    stored = read_snapshot(spark, root, number=current)
     staging = scratch_path(spark, "hits")
     try:
         counted = count_hits(hits, keys)
@@ -68,7 +74,7 @@ def apply_hits(
         if batch_id is None:
             write_snapshot(merged, root, after=current)
         else:
-            write_snapshot(merged, root, number=batch_id)
+            write_snapshot(merged, root, number=batch_id, after=current)
     finally:
         remove_path(spark, staging)
 

@@ -6,10 +6,13 @@ once its ``_SUCCESS`` marker is there: readers see the old or the new version,
 never a mixture, and a lost job leaves the old one in place. No data is renamed,
 which would be a copy on object stores. A writer first claims its number by creating a
 file that must not exist; where the store makes that atomic, two writers never share one.
+A writer with a number of its own claims the version that it goes on from instead, so
+no two versions are made from the same one.
 """
 
 from __future__ import annotations
 
+import itertools
 import time
 
 from pyspark.errors import AnalysisException
@@ -18,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 PREFIX = "snapshot="
 MARKER = "_SUCCESS"
 CLAIMS = "_claims"
+BASES = "_bases"
 #: Seconds for which a superseded version, or an unfinished one, is left for its readers or writer.
 RETAIN = 24 * 3600.0
 
@@ -75,6 +79,42 @@ def _claim(spark: SparkSession, root: str, number: int) -> None:
         raise
 
 
+def _claim_base(spark: SparkSession, root: str, after: int, number: int, retain: float) -> str:
+    """Claim the version ``after`` as the one that ``number`` goes on from; the claim's path.
+
+    A retry of the same number takes its claim over. A claim of another number that has
+    not become a version within ``retain`` seconds is passed over by a claim of the next turn.
+    """
+    for turn in itertools.count():
+        claim = f"{root}/{BASES}/{after}.{turn}"
+        path = _path(spark, claim)
+        files = _files(spark, path)
+        try:
+            out = files.create(path, False)
+        except Exception as error:
+            if not files.exists(path):
+                raise
+            if files.getFileStatus(path).getLen():
+                taken = files.open(path)
+                try:
+                    owner = taken.readLong()
+                finally:
+                    taken.close()
+                if owner == number:
+                    return claim
+            if (_age(spark, claim) or 0) <= retain:
+                raise SnapshotConflict(
+                    f"another version of {root} is being made from {after}"
+                ) from error
+            continue
+        try:
+            out.writeLong(number)
+        finally:
+            out.close()
+        return claim
+    raise AssertionError("unreachable")
+
+
 def _age(spark: SparkSession, path: str) -> float | None:
     """Seconds since a file was made, None if it is not there."""
     place = _path(spark, path)
@@ -94,9 +134,17 @@ def snapshot_path(root: str, number: int) -> str:
     return f"{root}/{PREFIX}{number}"
 
 
-def read_snapshot(spark: SparkSession, root: str, form: str = "parquet") -> DataFrame:
-    """The newest complete version."""
-    number = current_snapshot(spark, root)
+def has_snapshot(spark: SparkSession, root: str, number: int) -> bool:
+    """Whether that version is complete and still there."""
+    return number in _numbers(spark, root, finished=True)
+
+
+def read_snapshot(
+    spark: SparkSession, root: str, form: str = "parquet", number: int | None = None
+) -> DataFrame:
+    """The newest complete version, or the one of that ``number``."""
+    if number is None:
+        number = current_snapshot(spark, root)
     if number is None:
         raise AnalysisException(f"no complete snapshot under {root}")
     return spark.read.format(form).load(snapshot_path(root, number))
@@ -120,15 +168,23 @@ def write_snapshot(
     A given ``number`` (a micro-batch id) belongs to one writer. If that version is
     complete, a retry changes nothing; if not, it is written anew, unseen by readers. One
     below the current version is refused, as nobody would read it (a stream with a new
-    checkpoint needs a new root).
+    checkpoint needs a new root). With ``after`` as well, that version is claimed: another
+    number made from it is refused with ``SnapshotConflict``.
     """
     spark = df.sparkSession
     current = current_snapshot(spark, root)
+    base = None
     if number is not None:
         if number < (current or 0):
             raise ValueError(f"snapshot {number} is older than the current one under {root}")
         if number == current:
             return number
+        if after is not None:
+            base = _claim_base(spark, root, after, number, retain)
+            current = current_snapshot(spark, root)
+            if (-1 if current is None else current) != after:
+                remove_path(spark, base)
+                raise SnapshotConflict(f"{root} moved on from version {after} to {current}")
         mode = "overwrite"
     else:
         taken = {*_claimed(spark, root), *_numbers(spark, root, finished=False)}
@@ -149,6 +205,8 @@ def write_snapshot(
         if mode == "errorifexists":
             remove_path(spark, snapshot_path(root, number))
             remove_path(spark, f"{root}/{CLAIMS}/{number}")
+        elif base is not None:
+            remove_path(spark, base)
         raise
     drop_old_snapshots(spark, root, retain)
     return number
@@ -162,10 +220,20 @@ def drop_old_snapshots(spark: SparkSession, root: str, retain: float = RETAIN) -
     for number, following in zip(finished[:-1], finished[1:], strict=True):
         age = _age(spark, f"{snapshot_path(root, following)}/{MARKER}")
         if age is not None and age > retain:
-            remove_path(spark, snapshot_path(root, number))
-            remove_path(spark, f"{root}/{CLAIMS}/{number}")
+            _forget(spark, root, number)
     for number in set(_numbers(spark, root, finished=False)) - set(finished):
         age = _age(spark, snapshot_path(root, number))
         if number < finished[-1] and age is not None and age > retain:
-            remove_path(spark, snapshot_path(root, number))
-            remove_path(spark, f"{root}/{CLAIMS}/{number}")
+            _forget(spark, root, number)
+
+
+def _forget(spark: SparkSession, root: str, number: int) -> None:
+    """Delete a version and its claims."""
+    remove_path(spark, snapshot_path(root, number))
+    remove_path(spark, f"{root}/{CLAIMS}/{number}")
+    bases = _path(spark, f"{root}/{BASES}")
+    files = _files(spark, bases)
+    if files.exists(bases):
+        for status in files.listStatus(bases):
+            if status.getPath().getName().startswith(f"{number}."):
+                files.delete(status.getPath(), False)

@@ -1,3 +1,4 @@
+import threading
 import time
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
@@ -296,3 +297,53 @@ def test_snapshot_numbers_do_not_go_back(spark, tmp_path):
         write_snapshot(spark.range(1), root, number=3)
     with pytest.raises(AnalysisException):
         read_snapshot(spark, str(tmp_path / "absent"))
+
+
+def _in_threads(spark, root, batches):
+    """Apply batches at the same time; those refused, by batch."""
+    refused = {}
+
+    def run(batch):
+        hits = spark.createDataFrame([("a",)] * batch, "k string")
+        try:
+            apply_hits(hits, root, ["k"], OLD, batch_id=batch)
+        except (SnapshotConflict, ValueError) as error:
+            refused[batch] = error
+
+    threads = [threading.Thread(target=run, args=(b,)) for b in batches]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    return refused
+
+
+def test_batches_at_the_same_time_lose_no_hit(spark, tmp_path):
+    root = str(tmp_path / "racing")
+    create_if_absent(spark, root, counters(spark).schema)
+    refused = _in_threads(spark, root, (5, 6))
+    applied = {5, 6} - set(refused)
+    assert applied
+    assert read_snapshot(spark, root).first()["count"] == sum(applied)
+    if isinstance(refused.get(6), SnapshotConflict):
+        assert not _in_threads(spark, root, (6,))
+        assert read_snapshot(spark, root).first()["count"] == 11
+
+
+def test_two_batches_from_one_version(spark, tmp_path):
+    root, rows = str(tmp_path / "bases"), spark.range(3)
+    write_snapshot(rows, root)
+    write_snapshot(rows, root, number=4, after=0)
+    with pytest.raises(SnapshotConflict):
+        write_snapshot(rows, root, number=5, after=0)
+    assert write_snapshot(rows, root, number=4, after=0) == 4
+    assert write_snapshot(rows, root, number=5, after=4) == 5
+
+
+def test_an_overtaken_batch_is_refused(spark, tmp_path):
+    root = str(tmp_path / "overtaken")
+    create_if_absent(spark, root, counters(spark).schema)
+    assert not _in_threads(spark, root, (6,))
+    assert isinstance(_in_threads(spark, root, (5,))[5], ValueError)
+    assert not _in_threads(spark, root, (6,))
+    assert read_snapshot(spark, root).first()["count"] == 6
