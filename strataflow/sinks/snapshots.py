@@ -102,7 +102,7 @@ def _claim_base(spark: SparkSession, root: str, after: int, number: int, retain:
                     taken.close()
                 if owner == number:
                     return claim
-            if (_age(spark, claim) or 0) <= retain:
+            if (age(spark, claim) or 0) <= retain:
                 raise SnapshotConflict(
                     f"another version of {root} is being made from {after}"
                 ) from error
@@ -115,7 +115,7 @@ def _claim_base(spark: SparkSession, root: str, after: int, number: int, retain:
     raise AssertionError("unreachable")
 
 
-def _age(spark: SparkSession, path: str) -> float | None:
+def age(spark: SparkSession, path: str) -> float | None:
     """Seconds since a file was made, None if it is not there."""
     place = _path(spark, path)
     files = _files(spark, place)
@@ -124,6 +124,20 @@ def _age(spark: SparkSession, path: str) -> float | None:
     return time.time() - files.getFileStatus(place).getModificationTime() / 1000
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it is not there."""
+    place = _path(spark, path)
+    files = _files(spark, place)
+    if not files.exists(place):
+        return []
+    return [status.getPath().getName() for status in files.listStatus(place)]
+
+
+def complete_snapshots(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete versions that are still there, in order."""
+    return _numbers(spark, root, finished=True)
+
+
 def current_snapshot(spark: SparkSession, root: str) -> int | None:
     """Number of the newest complete version, None for an absent table."""
     numbers = _numbers(spark, root, finished=True)
@@ -194,7 +208,7 @@ def write_snapshot(
             if (-1 if current is None else current) != after:
                 raise SnapshotConflict(f"{root} moved on from version {after} to {current}")
             number = after + 1
-            while number in taken and (_age(spark, f"{root}/{CLAIMS}/{number}") or 0) > retain:
+            while number in taken and (age(spark, f"{root}/{CLAIMS}/{number}") or 0) > retain:
                 number += 1
         _claim(spark, root, number)
         mode = "errorifexists"
@@ -218,12 +232,12 @@ def drop_old_snapshots(spark: SparkSession, root: str, retain: float = RETAIN) -
     if not finished:
         return
     for number, following in zip(finished[:-1], finished[1:], strict=True):
-        age = _age(spark, f"{snapshot_path(root, following)}/{MARKER}")
-        if age is not None and age > retain:
+        since = age(spark, f"{snapshot_path(root, following)}/{MARKER}")
+        if since is not None and since > retain:
             _forget(spark, root, number)
     for number in set(_numbers(spark, root, finished=False)) - set(finished):
-        age = _age(spark, snapshot_path(root, number))
-        if number < finished[-1] and age is not None and age > retain:
+        since = age(spark, snapshot_path(root, number))
+        if number < finished[-1] and since is not None and since > retain:
             _forget(spark, root, number)
 
 
