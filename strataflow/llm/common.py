@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from types import TracebackType
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.session import scratch_path, scratch_root
+from strataflow.sinks.snapshots import remove_path
 
 # White space between words is a space or U+0009 to U+000D.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -38,6 +41,36 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Workspace:
+    """Staged tables that are deleted when the work is done, or earlier, one by one.
+
+    What a result still reads when it is handed out has to be staged elsewhere.
+    """
+
+    def __init__(self, spark: SparkSession, label: str) -> None:
+        self._spark = spark
+        self._root = scratch_path(spark, label)
+        self._many = 0
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(
+        self,
+        kind: type[BaseException] | None,
+        error: BaseException | None,
+        trace: TracebackType | None,
+    ) -> None:
+        remove_path(self._spark, self._root)
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        """The rows, written and read back."""
+        self._many += 1
+        path = f"{self._root}/{self._many}"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of a loop with a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext

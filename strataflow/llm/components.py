@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,24 +45,27 @@ def _state(edges: DataFrame) -> tuple:
     )
 
 
-def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def connected_components(
+    edges: DataFrame, a: str, b: str, keep: Callable[[DataFrame], DataFrame] = cut
+) -> DataFrame:
     """``(node, root)`` for every node with an edge to another; the root is its smallest node.
 
     Alternating large and small stars (Kiveris et al., 2014): each round is two
     groupings and two joins over the edges, and the number of rounds grows with the
     logarithm of the size of the largest component. Edges that stay are at most one
     per node once the stars form. Only a count and a checksum reach the driver.
-    NULL ends and self links are ignored; an empty list gives an empty result.
+    NULL ends and self links are ignored; an empty list gives an empty result. ``keep`` cuts the
+    lineage of a round.
     """
     ends = (F.col(a), F.col(b))
-    edges = cut(
+    edges = keep(
         edges.where(ends[0] != ends[1])
         .select(F.greatest(*ends).alias("src"), F.least(*ends).alias("dst"))
         .distinct()
     )
     before = _state(edges)
     while before[0]:
-        edges = cut(_small_star(_large_star(edges)))
+        edges = keep(_small_star(_large_star(edges)))
         after = _state(edges)
         if after == before:
             break

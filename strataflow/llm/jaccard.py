@@ -1,4 +1,4 @@
-"""Near copies by the exact Jaccard similarity of word shingles."""
+"""Near copies: candidates by a SimHash trie join and rare lists, links by exact similarity."""
 
 from __future__ import annotations
 
@@ -11,12 +11,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import stage, whole
+from strataflow.llm.common import Workspace, stage, whole
 from strataflow.llm.components import connected_components
-from strataflow.llm.simhash import SEED, _unite, _units
+from strataflow.llm.simhash import SEED, _unite, _units, majority_bits, near_links
 
 SIZE = 5
 SIMILARITY = 0.8
+#: Differing bits within which the trie join looks for near copies first.
+BUDGET = 7
 #: Bits of a set's parity map; two sets differ in at least as many shingles as their maps in bits.
 MAP_BITS = 1024
 #: Nodes of one list or component that a single task compares; larger ones are dealt out in pairs.
@@ -42,13 +44,13 @@ def _shingles(text: str, size: int) -> np.ndarray:
 
 
 def _sketch(text: str | Column, size: int, similarity: float) -> Column:
-    """Digest, size and parity map of a text's shingle set, and its smallest hashes.
+    """Digest, size, fingerprint and parity map of a text's shingle set, its smallest hashes.
 
     Sets of at least that similarity have one of these smallest hashes in common: each holds
     ``similarity`` of the other, so less than the rest of it can be missing.
     """
 
-    @F.pandas_udf("digest long, size int, bits binary, heads array<long>")
+    @F.pandas_udf("digest long, size int, fp long, bits binary, heads array<long>")
     def sketches(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
@@ -59,11 +61,12 @@ def _sketch(text: str | Column, size: int, similarity: float) -> Column:
                 (
                     xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63),
                     many,
+                    majority_bits(hashes),
                     np.packbits(parity.astype(np.uint8)).tobytes(),
                     hashes[: many - math.ceil(similarity * many - _SLACK) + 1].view(np.int64),
                 )
             )
-        return pd.DataFrame(rows, columns=["digest", "size", "bits", "heads"])
+        return pd.DataFrame(rows, columns=["digest", "size", "fp", "bits", "heads"])
 
     return sketches(whole(text))
 
@@ -118,25 +121,81 @@ def _candidates(unit: pd.DataFrame, similarity: float) -> Iterator[tuple[np.ndar
             yield i[near], j[near]
 
 
-def _similar(i: np.ndarray, j: np.ndarray, sets: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Which of the pairs of sets have the similarity."""
-    found = np.zeros(len(i), bool)
-    for at, (a, b) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
-        both = np.concatenate((sets[a], sets[b]))
-        both.sort()
-        shared = np.count_nonzero(both[1:] == both[:-1])
-        found[at] = shared >= similarity * (len(both) - shared) - _SLACK
-    return found
+def _alike(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
+    """Whether two sets have the similarity."""
+    both = np.concatenate((one, other))
+    both.sort()
+    shared = np.count_nonzero(both[1:] == both[:-1])
+    return bool(shared >= similarity * (len(both) - shared) - _SLACK)
+
+
+def _starred(similarity: float, size: int):
+    """Members that are similar to the centre of their star, which comes before them."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        centre = np.array([], np.uint64)
+        for frame in frames:
+            held = []
+            for node, key, text in zip(frame["node"], frame["key"], frame["text"], strict=True):
+                hashes = _shingles(text, size)
+                if node == key:
+                    centre = hashes
+                elif _alike(centre, hashes, similarity):
+                    held.append((node, key))
+            if held:
+                yield pd.DataFrame(held, columns=["a", "b"])
+
+    return run
+
+
+def _star_links(work: Workspace, texts: DataFrame, prints: DataFrame, size: int, similarity: float) -> DataFrame:
+    """Verified links ``(a, b)`` between nodes that the trie join brings together.
+
+    Each of its components is a star: members are compared with its least node alone, so
+    a text is sent once, however many near copies there are; only the centre goes to
+    every chunk of its members. A member that is similar to another one but not to the
+    centre is left to the lists.
+    """
+    stars = work.stage(
+        connected_components(near_links(prints, BUDGET), "a", "b", keep=work.stage)
+        .withColumnRenamed("root", "key")
+    )
+    many = work.stage(
+        stars.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(UNIT_ROWS)).cast("int").alias("chunks"))
+    )
+    own = F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("chunks") - 1)
+    placed = work.stage(
+        stars.join(many, "key").select(
+            "key", "node", F.explode(F.when(F.col("node") == F.col("key"), every).otherwise(own)).alias("chunk")
+        )
+    )
+    # A star has its centre first, which has its least node.
+    return (
+        texts.join(placed, "node")
+        .repartition("key", "chunk")
+        .sortWithinPartitions("key", "chunk", "node")
+        .mapInPandas(_starred(similarity, size), "a long, b long")
+    )
 
 
 def _linked(similarity: float, size: int | None = None):
-    """Spanning forests of the candidates in a unit; with a ``size``, of those that hold."""
+    """Spanning forests of the candidates in a unit; with a ``size``, of those that hold.
+
+    Nodes of one ``root`` are linked already and are not compared. A class in which
+    roots have met is returned as a whole.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for unit in _units(frames, list(_UNIT)):
             nodes = unit["node"].to_numpy()
             sets = None if size is None else [_shingles(t, size) for t in unit["text"]]
-            labels = np.arange(len(unit))
+            # A list's classes are its own: a node can be in several lists of these rows.
+            ids = unit[[*_UNIT, "root"]]
+            number = ids.groupby([*_UNIT, "root"], sort=False).ngroup().to_numpy()
+            _, first = np.unique(number, return_index=True)
+            start = first[number]
+            labels = start.copy()
             for i, j in _candidates(unit, similarity):
                 # A few thousand at a time, so that what is joined already is not compared.
                 for at in range(0, len(i), 2048):
@@ -144,54 +203,78 @@ def _linked(similarity: float, size: int | None = None):
                     apart = labels[a] != labels[b]
                     a, b = a[apart], b[apart]
                     if sets is not None:
-                        holds = _similar(a, b, sets, similarity)
+                        pairs = zip(a.tolist(), b.tolist(), strict=True)
+                        holds = np.array([_alike(sets[x], sets[y], similarity) for x, y in pairs], bool)
                         a, b = a[holds], b[holds]
                     labels = _unite(labels, a, b)
-            linked = np.flatnonzero(labels != np.arange(len(unit)))
+            met = np.zeros(len(unit), bool)
+            met[labels[start != labels]] = True
+            linked = np.flatnonzero(met[labels] & (labels != np.arange(len(unit))))
             if len(linked):
                 yield pd.DataFrame({"a": nodes[linked], "b": nodes[labels[linked]]})
 
     return run
 
 
-def similar_groups(rows: DataFrame, size: int = SIZE, similarity: float = SIMILARITY) -> DataFrame:
+def similar_groups(
+    rows: DataFrame, size: int = SIZE, similarity: float = SIMILARITY, work: Workspace | None = None
+) -> DataFrame:
     """``row`` and ``root`` of each row of (row, doc_id, text), linked by exact similarity.
 
     Texts are linked whose sets of shingles of ``size`` words have at least that Jaccard
     similarity; ``root`` names the component. The search misses none and every link is
-    checked. Equal sets are one node. Two similar sets share one of their smallest
-    hashes, so nodes meet in the lists of these; sizes and parity maps, which bound the
-    similarity from above, rule out most pairs of a list. Components of the others are
-    small, and only these are compared shingle by shingle. Lists and components are dealt
-    out in chunks, and a unit returns a spanning forest, not its pairs.
+    checked. Equal sets are one node.
+
+    Fingerprints of the sets meet in the trie join first; what is similar to the centre of
+    its star is linked. The rest is complete by prefixes: two similar sets share one
+    of their smallest hashes, so nodes meet in the lists of these. Lists whose nodes
+    are all linked already go unread, which leaves few of those of near copies. In the others
+    sizes and parity maps, which bound the similarity from above, rule out most pairs.
+    Components of the rest are small, and only these are compared shingle by shingle. Lists
+    and components are dealt out in chunks, and a unit returns a spanning forest, not
+    its pairs. With a ``work``, staged tables are its own, and the result has to be used
+    before it ends; else they stay.
     """
-    marked = rows.select("row", _sketch("text", size, similarity).alias("of")).select("row", "of.*")
-    marked = stage(marked, "shingles")
+    if work is None:
+        work = Workspace(rows.sparkSession, "similar")
+    marked = work.stage(
+        rows.select("row", _sketch("text", size, similarity).alias("of")).select("row", "of.*")
+    )
     # Equal sets have equal sketches; the rest of a node is that of its least row.
-    nodes = stage(
-        marked.groupBy("digest", "size").agg(F.min("row").alias("node")), "shingle-sets"
+    nodes = work.stage(marked.groupBy("digest", "size").agg(F.min("row").alias("node")))
+    first = nodes.select(F.col("node").alias("row"))
+    own = marked.join(first, "row", "left_semi").withColumnRenamed("row", "node")
+    texts = rows.select(F.col("row").alias("node"), whole("text").alias("text"))
+    stars = work.stage(_star_links(work, texts, own.select("node", "fp"), size, similarity))
+    # A star's links all lead to its centre, so they name its members' root.
+    roots = stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    rooted = work.stage(
+        own.join(roots, "node", "left")
+        .select("node", F.coalesce("root", "node").alias("root"), "size", "bits", "heads")
     )
-    own = marked.join(nodes, marked["row"] == nodes["node"], "left_semi").withColumnRenamed("row", "node")
-    heads = own.select("node", F.explode("heads").alias("key"))
-    shared = stage(
-        heads.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1"), "shared-shingles"
+    shared = work.stage(
+        rooted.select("root", F.explode("heads").alias("key"))
+        .groupBy("key")
+        .agg(F.count(F.lit(1)).alias("many"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low < high")
+        .select("key", "many")
     )
-    lists = own.select("node", "size", "bits", F.explode("heads").alias("key"))
+    lists = rooted.select("node", "root", "size", "bits", F.explode("heads").alias("key"))
     maybe = _dealt(lists, shared).mapInPandas(_linked(similarity), "a long, b long")
-    groups = stage(
-        connected_components(maybe, "a", "b").withColumnRenamed("root", "key"), "maybe-similar"
+    groups = work.stage(
+        connected_components(maybe, "a", "b", keep=work.stage).withColumnRenamed("root", "key")
     )
-    texts = groups.join(own.select("node", "size", "bits"), "node").join(
-        rows.select(F.col("row").alias("node"), whole("text").alias("text")), "node"
+    members = work.stage(groups.groupBy("key").agg(F.count(F.lit(1)).alias("many")))
+    # Small tables first, so that the texts need not be shuffled to meet them.
+    found = work.stage(groups.join(rooted.drop("heads"), "node"))
+    links = _dealt(texts.join(found, "node"), members).mapInPandas(
+        _linked(similarity, size), "a long, b long"
     )
-    members = stage(groups.groupBy("key").agg(F.count(F.lit(1)).alias("many")), "maybe-sizes")
-    links = _dealt(texts, members).mapInPandas(_linked(similarity, size), "a long, b long")
-    roots = connected_components(links, "a", "b")
-    known = stage(
-        nodes.join(roots, "node", "left").select(
+    ends = connected_components(stars.unionByName(links), "a", "b", keep=work.stage)
+    known = work.stage(
+        nodes.join(ends, "node", "left").select(
             "digest", "size", F.coalesce("root", "node").alias("root")
-        ),
-        "similar",
+        )
     )
     return marked.select("row", "digest", "size").join(known, ["digest", "size"]).select("row", "root")
 
@@ -201,20 +284,22 @@ def drop_similar(docs: DataFrame, size: int = SIZE, similarity: float = SIMILARI
 
     Groups are those of ``similar_groups``. Of rows that repeat that doc_id one stays; a
     group without any doc_id keeps one row. NULL texts count as empty, and texts without
-    words are alike. Columns are those of the input; an empty table stays empty.
+    words are alike. Columns are those of the input; an empty table stays empty. Of the
+    staged tables only the rows and the list of those that go outlive the call.
     """
     # Within a struct the input's columns cannot clash with those of the plan.
     rows = stage(
         docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")),
         "similar-docs",
     )
-    groups = similar_groups(rows.select("row", "doc.text"), size, similarity)
-    ids = rows.select("row", "doc.doc_id")
-    best = (
-        groups.join(ids, "row")
-        .groupBy("root")
-        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best"))
-    )
-    return rows.join(best.select(F.col("best.row").alias("row")), "row", "left_semi").select(
+    with Workspace(docs.sparkSession, "similar") as work:
+        groups = similar_groups(rows.select("row", "doc.text"), size, similarity, work)
+        named = work.stage(groups.join(rows.select("row", "doc.doc_id"), "row"))
+        best = named.groupBy("root").agg(
+            F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("best")
+        )
+        kept = best.select(F.col("best.row").alias("row"))
+        gone = stage(named.select("row").join(kept, "row", "left_anti"), "similar-gone")
+    return rows.join(gone, "row", "left_anti").select(
         *[F.col("doc").getField(c).alias(c) for c in docs.columns]
     )

@@ -41,7 +41,11 @@ def _fingerprint(text: str, size: int) -> int:
         starts = np.concatenate(([0], ends[:-size] + 1)).tolist()
         shingles = [line[s:e] for s, e in zip(starts, ends[size - 1 :].tolist(), strict=True)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(s, SEED) for s in shingles), np.uint64, len(shingles))
+    return majority_bits(np.fromiter((digest(s, SEED) for s in shingles), np.uint64, len(shingles)))
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes, as a signed number."""
     set_bits = np.zeros(BITS, np.int64)
     for at in range(0, len(hashes), 8192):
         octets = hashes[at : at + 8192].astype(">u8").view(np.uint8).reshape(-1, 8)

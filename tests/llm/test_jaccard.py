@@ -5,6 +5,7 @@ import random
 import pytest
 
 from strataflow.llm import jaccard
+from strataflow.sinks.snapshots import child_names
 from tests.llm.conftest import ODD_TEXTS
 
 
@@ -95,3 +96,27 @@ def test_matches_brute_force_on_documents(spark):
 
 def test_empty_table(docs):
     assert jaccard.drop_similar(docs([])).count() == 0
+
+
+@pytest.mark.parametrize("unit_rows", [4, 2_000])
+def test_a_star_whose_members_miss_its_centre(docs, monkeypatch, unit_rows):
+    """A chain of near copies: each is similar to the next, the ends are not."""
+    monkeypatch.setattr(jaccard, "UNIT_ROWS", unit_rows)
+    dice, rows = random.Random(4), []
+    text = pages(dice, 300)
+    for k in range(30):
+        rows.append((k, " ".join(text)))
+        text = text.copy()
+        text[10 * k : 10 * k + 6] = pages(dice, 6)
+    rows += [(100 + k, " ".join(pages(dice, 300))) for k in range(5)]
+    found = kept(jaccard.drop_similar(docs(rows)))
+    assert found == slow_kept(rows) == [(False, 0), *((False, 100 + k) for k in range(5))]
+
+
+def test_only_what_the_result_reads_stays(spark, docs):
+    place = spark.conf.get("spark.checkpoint.dir") + "/strataflow"
+    before = set(child_names(spark, place))
+    result = jaccard.drop_similar(docs(ODD_TEXTS))
+    left = {n.rsplit("-", 1)[0] for n in set(child_names(spark, place)) - before}
+    assert left == {"similar-docs", "similar-gone"}
+    assert kept(result) == slow_kept(ODD_TEXTS)
