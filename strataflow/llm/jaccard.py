@@ -21,6 +21,10 @@ SIMILARITY = 0.8
 BUDGET = 7
 #: Bits of a set's parity map; two sets differ in at least as many shingles as their maps in bits.
 MAP_BITS = 1024
+#: Bits of the maps that a task makes itself before it compares shingle by shingle.
+WIDE_BITS = 16_384
+#: Members of a star that a single task compares with its centre.
+STAR_ROWS = 200
 #: Nodes of one list or component that a single task compares; larger ones are dealt out in pairs.
 UNIT_ROWS = 2_000
 _UNIT = ("key", "one", "two")
@@ -43,6 +47,12 @@ def _shingles(text: str, size: int) -> np.ndarray:
     return np.unique(np.fromiter((digest(s, SEED) for s in found), np.uint64, len(found)))
 
 
+def _parity(hashes: np.ndarray, bits: int) -> bytes:
+    """For each remainder by ``bits``, whether an odd number of the hashes has it."""
+    odd = np.bincount((hashes % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _sketch(text: str | Column, size: int, similarity: float) -> Column:
     """Digest, size, fingerprint and parity map of a text's shingle set, its smallest hashes.
 
@@ -56,13 +66,12 @@ def _sketch(text: str | Column, size: int, similarity: float) -> Column:
         for text in texts:
             hashes = _shingles(text, size)
             many = len(hashes)
-            parity = np.bincount((hashes % np.uint64(MAP_BITS)).astype(np.int64), minlength=MAP_BITS) & 1
             rows.append(
                 (
                     xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63),
                     many,
                     majority_bits(hashes),
-                    np.packbits(parity.astype(np.uint8)).tobytes(),
+                    _parity(hashes, MAP_BITS),
                     hashes[: many - math.ceil(similarity * many - _SLACK) + 1].view(np.int64),
                 )
             )
@@ -89,10 +98,12 @@ def _dealt(rows: DataFrame, many: DataFrame) -> DataFrame:
     )
 
 
-def _candidates(unit: pd.DataFrame, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _candidates(
+    unit: pd.DataFrame, maps: list[bytes], similarity: float
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs within units that sizes and parity maps allow the similarity."""
     sizes = unit["size"].to_numpy().astype(np.int64)
-    bits = np.frombuffer(b"".join(unit["bits"]), np.uint64).reshape(len(unit), -1)
+    bits = np.frombuffer(b"".join(maps), np.uint64).reshape(len(unit), -1)
     ids = unit[list(_UNIT)].to_numpy()
     fresh = np.ones(len(unit) + 1, bool)
     fresh[1:-1] = (ids[1:] != ids[:-1]).any(axis=1)
@@ -106,7 +117,8 @@ def _candidates(unit: pd.DataFrame, similarity: float) -> Iterator[tuple[np.ndar
     row = np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows) + lo[owner]
     start = np.where(own[owner], row + 1, mid[owner])
     counts = hi[owner] - start
-    parts = np.cumsum(counts) // _PAIRS
+    # Wider maps, fewer pairs at a time.
+    parts = np.cumsum(counts) // max(_PAIRS * MAP_BITS // (64 * bits.shape[1]), 1)
     cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(row)]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         wide = counts[a:b]
@@ -161,7 +173,7 @@ def _star_links(work: Workspace, texts: DataFrame, prints: DataFrame, size: int,
         .withColumnRenamed("root", "key")
     )
     many = work.stage(
-        stars.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(UNIT_ROWS)).cast("int").alias("chunks"))
+        stars.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(STAR_ROWS)).cast("int").alias("chunks"))
     )
     own = F.array(F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("chunks") - 1)
@@ -196,7 +208,8 @@ def _linked(similarity: float, size: int | None = None):
             _, first = np.unique(number, return_index=True)
             start = first[number]
             labels = start.copy()
-            for i, j in _candidates(unit, similarity):
+            maps = list(unit["bits"]) if sets is None else [_parity(x, WIDE_BITS) for x in sets]
+            for i, j in _candidates(unit, maps, similarity):
                 # A few thousand at a time, so that what is joined already is not compared.
                 for at in range(0, len(i), 2048):
                     a, b = i[at : at + 2048], j[at : at + 2048]
@@ -266,7 +279,7 @@ def similar_groups(
     )
     members = work.stage(groups.groupBy("key").agg(F.count(F.lit(1)).alias("many")))
     # Small tables first, so that the texts need not be shuffled to meet them.
-    found = work.stage(groups.join(rooted.drop("heads"), "node"))
+    found = work.stage(groups.join(rooted.drop("heads", "bits"), "node"))
     links = _dealt(texts.join(found, "node"), members).mapInPandas(
         _linked(similarity, size), "a long, b long"
     )

@@ -102,6 +102,7 @@ def test_empty_table(docs):
 def test_a_star_whose_members_miss_its_centre(docs, monkeypatch, unit_rows):
     """A chain of near copies: each is similar to the next, the ends are not."""
     monkeypatch.setattr(jaccard, "UNIT_ROWS", unit_rows)
+    monkeypatch.setattr(jaccard, "STAR_ROWS", unit_rows)
     dice, rows = random.Random(4), []
     text = pages(dice, 300)
     for k in range(30):
@@ -113,6 +114,21 @@ def test_a_star_whose_members_miss_its_centre(docs, monkeypatch, unit_rows):
     assert found == slow_kept(rows) == [(False, 0), *((False, 100 + k) for k in range(5))]
 
 
+def test_wide_maps_bound_the_similarity():
+    dice = random.Random(5)
+    for many in (1, 50, 4_000, 20_000):
+        base = pages(dice, many)
+        for edits in (0, many // 100, many // 20, many):
+            other = base.copy()
+            for k in dice.sample(range(many), edits):
+                other[k] = f"e{k}"
+            one, two = (jaccard._shingles(" ".join(t), 5) for t in (base, other))
+            for bits in (jaccard.MAP_BITS, jaccard.WIDE_BITS):
+                maps = [int.from_bytes(jaccard._parity(x, bits)) for x in (one, two)]
+                apart = len(one) + len(two) - 2 * len(set(one.tolist()) & set(two.tolist()))
+                assert (maps[0] ^ maps[1]).bit_count() <= apart
+
+
 def test_only_what_the_result_reads_stays(spark, docs):
     place = spark.conf.get("spark.checkpoint.dir") + "/strataflow"
     before = set(child_names(spark, place))
