@@ -51,6 +51,7 @@ class Workspace:
         self._spark = spark
         self._root = scratch_path(spark, label)
         self._many = 0
+        self._tables: list[tuple[DataFrame, str]] = []
 
     def __enter__(self) -> Workspace:
         return self
@@ -68,7 +69,13 @@ class Workspace:
         self._many += 1
         path = f"{self._root}/{self._many}"
         df.write.parquet(path)
-        return self._spark.read.schema(df.schema).parquet(path)
+        table = self._spark.read.schema(df.schema).parquet(path)
+        self._tables.append((table, path))
+        return table
+
+    def drop(self, table: DataFrame) -> None:
+        """Delete a table of this work that nothing reads any more."""
+        remove_path(self._spark, next(path for t, path in self._tables if t is table))
 
 
 def cut(df: DataFrame) -> DataFrame:

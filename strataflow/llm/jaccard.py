@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.llm.common import Workspace, stage, whole
@@ -19,14 +19,16 @@ SIZE = 5
 SIMILARITY = 0.8
 #: Differing bits within which the trie join looks for near copies first.
 BUDGET = 7
-#: Bits of a set's parity map; two sets differ in at least as many shingles as their maps in bits.
+#: Bits of a set's parity map, at least; two sets differ in at least as many shingles as their maps in bits.
 MAP_BITS = 1024
-#: Bits of the maps that a task makes itself before it compares shingle by shingle.
+#: Bits of the maps that a task makes itself before it compares shingle by shingle; no map has more.
 WIDE_BITS = 16_384
 #: Members of a star that a single task compares with its centre.
 STAR_ROWS = 200
-#: Nodes of one list or component that a single task compares; larger ones are dealt out in pairs.
+#: Nodes of one component that a single task compares; larger ones are dealt out in pairs.
 UNIT_ROWS = 2_000
+#: The same of one list, whose rows have maps instead of texts.
+LIST_ROWS = 8_000
 _UNIT = ("key", "one", "two")
 _PAIRS = 200_000
 # Against rounding of products with the similarity.
@@ -53,6 +55,28 @@ def _parity(hashes: np.ndarray, bits: int) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def _map_bits(many: int, similarity: float) -> int:
+    """Bits, a power of two, in which the maps of unrelated sets of that size differ too much.
+
+    Half the bits of crowded maps differ; that has to be over what the similarity allows.
+    """
+    least = math.ceil(4.5 * (1 - similarity) / (1 + similarity) * many)
+    return min(WIDE_BITS, max(MAP_BITS, 1 << max(least - 1, 0).bit_length()))
+
+
+def _folded(maps: list[bytes], widths: np.ndarray, bits: int) -> np.ndarray:
+    """The maps in that many bits each; those of fewer are left unset.
+
+    A remainder by half as many bits is the same for both halves of a map.
+    """
+    table = np.empty((len(maps), bits // 64), np.uint64)
+    for wide in np.unique(widths[widths >= bits]):
+        at = np.flatnonzero(widths == wide)
+        words = np.frombuffer(b"".join([maps[k] for k in at]), np.uint64)
+        table[at] = np.bitwise_xor.reduce(words.reshape(len(at), -1, bits // 64), axis=1)
+    return table
+
+
 def _sketch(text: str | Column, size: int, similarity: float) -> Column:
     """Digest, size, fingerprint and parity map of a text's shingle set, its smallest hashes.
 
@@ -71,7 +95,7 @@ def _sketch(text: str | Column, size: int, similarity: float) -> Column:
                     xxhash.xxh64_intdigest(hashes.tobytes(), SEED) - (1 << 63),
                     many,
                     majority_bits(hashes),
-                    _parity(hashes, MAP_BITS),
+                    _parity(hashes, _map_bits(many, similarity)),
                     hashes[: many - math.ceil(similarity * many - _SLACK) + 1].view(np.int64),
                 )
             )
@@ -80,13 +104,36 @@ def _sketch(text: str | Column, size: int, similarity: float) -> Column:
     return sketches(whole(text))
 
 
-def _dealt(rows: DataFrame, many: DataFrame) -> DataFrame:
-    """Rows of (key, node, ...) dealt out to units: pairs of chunks of the rows of a key."""
-    chunks = F.ceil(F.col("many") / F.lit(UNIT_ROWS)).cast("int")
-    met = (
-        rows.join(many, "key")
-        .withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+def _lists(heads: DataFrame) -> DataFrame:
+    """``(key, node, many)`` of the different lists of nodes that share one of their ``heads``.
+
+    ``heads`` has (node, root, heads). Lists whose nodes all have one root are left out. All
+    heads are shuffled once, with nothing but the node and its root. Texts that share a
+    passage meet in one list for each of its shingles: lists of the same nodes are one,
+    named by the exclusive or of their nodes' hashes.
+    """
+    # Dealt out before the nodes are hashed, so that the hashes are not shuffled.
+    met = heads.select("node", "root", F.explode("heads").alias("head")).repartition("head")
+    own = Window.partitionBy("head")
+    return (
+        met.select(
+            F.bit_xor(F.xxhash64("node")).over(own).alias("key"),
+            "node",
+            F.count(F.lit(1)).over(own).alias("many"),
+            F.min("root").over(own).alias("low"),
+            F.max("root").over(own).alias("high"),
+        )
+        .where("low < high")
+        .select("key", "node", "many")
+        .distinct()
+    )
+
+
+def _dealt(rows: DataFrame, most: int) -> DataFrame:
+    """Rows of (key, node, many, ...) dealt out to units: pairs of chunks of the ``many`` rows of a key."""
+    chunks = F.ceil(F.col("many") / F.lit(most)).cast("int")
+    met = rows.withColumn("chunk", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), chunks - 1))
     )
     return (
         met.withColumn("one", F.least("chunk", "other"))
@@ -101,9 +148,13 @@ def _dealt(rows: DataFrame, many: DataFrame) -> DataFrame:
 def _candidates(
     unit: pd.DataFrame, maps: list[bytes], similarity: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs within units that sizes and parity maps allow the similarity."""
+    """Index pairs within units that sizes and parity maps allow the similarity.
+
+    Two maps are compared in the bits of the narrower one.
+    """
     sizes = unit["size"].to_numpy().astype(np.int64)
-    bits = np.frombuffer(b"".join(maps), np.uint64).reshape(len(unit), -1)
+    widths = np.fromiter(map(len, maps), np.int64, len(maps)) * 8
+    tables = [(int(bits), _folded(maps, widths, int(bits))) for bits in np.unique(widths)]
     ids = unit[list(_UNIT)].to_numpy()
     fresh = np.ones(len(unit) + 1, bool)
     fresh[1:-1] = (ids[1:] != ids[:-1]).any(axis=1)
@@ -117,8 +168,7 @@ def _candidates(
     row = np.arange(rows.sum()) - np.repeat(np.cumsum(rows) - rows, rows) + lo[owner]
     start = np.where(own[owner], row + 1, mid[owner])
     counts = hi[owner] - start
-    # Wider maps, fewer pairs at a time.
-    parts = np.cumsum(counts) // max(_PAIRS * MAP_BITS // (64 * bits.shape[1]), 1)
+    parts = np.cumsum(counts) // _PAIRS
     cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(row)]
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         wide = counts[a:b]
@@ -126,11 +176,18 @@ def _candidates(
         j = np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide - start[a:b], wide)
         near = np.minimum(sizes[i], sizes[j]) >= similarity * np.maximum(sizes[i], sizes[j]) - _SLACK
         i, j = i[near], j[near]
-        apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
-        most = (1 - similarity) * (sizes[i] + sizes[j]) + _SLACK
-        near = apart * (1 + similarity) <= most
-        if near.any():
-            yield i[near], j[near]
+        narrow = np.minimum(widths[i], widths[j])
+        for bits, table in tables:
+            here = np.flatnonzero(narrow == bits)
+            # Wider maps, fewer pairs at a time.
+            step = max(_PAIRS * MAP_BITS // bits, 1)
+            for at in range(0, len(here), step):
+                p, q = i[here[at : at + step]], j[here[at : at + step]]
+                apart = np.bitwise_count(table[p] ^ table[q]).sum(axis=1, dtype=np.int64)
+                most = (1 - similarity) * (sizes[p] + sizes[q]) + _SLACK
+                near = apart * (1 + similarity) <= most
+                if near.any():
+                    yield p[near], q[near]
 
 
 def _alike(one: np.ndarray, other: np.ndarray, similarity: float) -> bool:
@@ -241,7 +298,8 @@ def similar_groups(
     Fingerprints of the sets meet in the trie join first; what is similar to the centre of
     its star is linked. The rest is complete by prefixes: two similar sets share one
     of their smallest hashes, so nodes meet in the lists of these. Lists whose nodes
-    are all linked already go unread, which leaves few of those of near copies. In the others
+    are all linked already go unread, which leaves few of those of near copies, and of lists
+    with the same nodes one is read. In these
     sizes and parity maps, which bound the similarity from above, rule out most pairs.
     Components of the rest are small, and only these are compared shingle by shingle. Lists
     and components are dealt out in chunks, and a unit returns a spanning forest, not
@@ -261,26 +319,19 @@ def similar_groups(
     stars = work.stage(_star_links(work, texts, own.select("node", "fp"), size, similarity))
     # A star's links all lead to its centre, so they name its members' root.
     roots = stars.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    rooted = work.stage(
-        own.join(roots, "node", "left")
-        .select("node", F.coalesce("root", "node").alias("root"), "size", "bits", "heads")
-    )
-    shared = work.stage(
-        rooted.select("root", F.explode("heads").alias("key"))
-        .groupBy("key")
-        .agg(F.count(F.lit(1)).alias("many"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high")
-        .select("key", "many")
-    )
-    lists = rooted.select("node", "root", "size", "bits", F.explode("heads").alias("key"))
-    maybe = _dealt(lists, shared).mapInPandas(_linked(similarity), "a long, b long")
+    rooted = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lists = work.stage(_lists(rooted.select("node", "root", "heads")))
+    maps = work.stage(rooted.select("node", "root", "size", "bits"))
+    sets = work.stage(marked.select("row", "digest", "size"))
+    work.drop(marked)
+    maybe = _dealt(lists.join(maps, "node"), LIST_ROWS).mapInPandas(_linked(similarity), "a long, b long")
     groups = work.stage(
         connected_components(maybe, "a", "b", keep=work.stage).withColumnRenamed("root", "key")
     )
     members = work.stage(groups.groupBy("key").agg(F.count(F.lit(1)).alias("many")))
     # Small tables first, so that the texts need not be shuffled to meet them.
-    found = work.stage(groups.join(rooted.drop("heads", "bits"), "node"))
-    links = _dealt(texts.join(found, "node"), members).mapInPandas(
+    found = work.stage(groups.join(members, "key").join(maps.drop("bits"), "node"))
+    links = _dealt(texts.join(found, "node"), UNIT_ROWS).mapInPandas(
         _linked(similarity, size), "a long, b long"
     )
     ends = connected_components(stars.unionByName(links), "a", "b", keep=work.stage)
@@ -289,7 +340,7 @@ def similar_groups(
             "digest", "size", F.coalesce("root", "node").alias("root")
         )
     )
-    return marked.select("row", "digest", "size").join(known, ["digest", "size"]).select("row", "root")
+    return sets.join(known, ["digest", "size"]).select("row", "root")
 
 
 def drop_similar(docs: DataFrame, size: int = SIZE, similarity: float = SIMILARITY) -> DataFrame:

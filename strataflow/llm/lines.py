@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import WORD_PATTERN, stage, whole, without, words
+from strataflow.llm.common import WORD_PATTERN, Workspace, stage, whole, without, words
 
 #: Different texts that a template has to occur in to count as recurring.
 MIN_DOCUMENTS = 5
@@ -66,7 +66,7 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
     )
 
 
-def _with_fields(lines: DataFrame, similarity: float) -> DataFrame:
+def _with_fields(work: Workspace, lines: DataFrame, similarity: float) -> DataFrame:
     """The lines with a template in which their rarest tokens are variable fields.
 
     A token is as rare as its leaf has it at its position, counted over different texts'
@@ -76,13 +76,12 @@ def _with_fields(lines: DataFrame, similarity: float) -> DataFrame:
     once = lines.where(F.size("hashes") >= round(1 / (1 - similarity))).select(
         "leaf", "digest", "hashes"
     ).distinct()
-    counts = stage(
+    counts = work.stage(
         once.select("leaf", F.posexplode("hashes").alias("at", "hash"))
         .groupBy("leaf", "at", "hash")
-        .agg(F.count(F.lit(1)).alias("many")),
-        "line-tokens",
+        .agg(F.count(F.lit(1)).alias("many"))
     )
-    kinds = stage(once.select("leaf", "hashes").distinct(), "line-kinds")
+    kinds = work.stage(once.select("leaf", "hashes").distinct())
     free = F.floor(F.size("by_rarity") * F.lit(1 - similarity) + F.lit(1e-9)).cast("int")
     rest = F.slice("by_rarity", free + 1, F.size("by_rarity") - free)
     masked = (
@@ -94,7 +93,7 @@ def _with_fields(lines: DataFrame, similarity: float) -> DataFrame:
         .withColumn("kept", F.array_sort(F.transform(rest, lambda token: F.struct(token["at"], token["hash"]))))
         .select("kind", F.xxhash64("leaf", F.lit(-3), "kept").alias("template"))
     )
-    masked = stage(masked, "line-masks")
+    masked = work.stage(masked)
     return lines.select(
         "doc_id", "digest", "pos", F.xxhash64("leaf", "hashes").alias("kind")
     ).join(masked, "kind").drop("kind")
@@ -119,11 +118,9 @@ def _recurring(found: DataFrame, key: str, min_documents: int) -> DataFrame:
     )
 
 
-def _after_first(lines: DataFrame, min_documents: int, label: str) -> DataFrame:
+def _after_first(work: Workspace, lines: DataFrame, min_documents: int) -> DataFrame:
     """The lines of recurring templates outside the first document of each."""
-    recurring = stage(
-        _recurring(lines, "template", min_documents).select("template", "first"), label
-    )
+    recurring = work.stage(_recurring(lines, "template", min_documents).select("template", "first"))
     is_first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (
         F.col("digest") == F.col("first.digest")
     )
@@ -133,26 +130,27 @@ def _after_first(lines: DataFrame, min_documents: int, label: str) -> DataFrame:
 def _repeats(
     docs: DataFrame, min_documents: int | None, depth: int, similarity: float
 ) -> DataFrame:
-    """For each text with lines to drop, their places."""
+    """For each text with lines to drop, their places: all that stays of the staged tables."""
     least = MIN_DOCUMENTS if min_documents is None else min_documents
-    found = stage(_lines(docs, depth), "lines")
-    # A template lies in one leaf, so only leaves of enough texts can hold a recurring one.
-    # Both lists of keys are written out: a join with them as they come would be bound to
-    # their partitioning, and Spark could not split a hot line.
-    crowded = stage(_recurring(found, "leaf", least).select("leaf"), "leaves")
-    inside = stage(
-        found.drop("passage").join(crowded, "leaf").withColumn("templates", _templates(similarity)),
-        "crowded-lines",
-    )
-    lines = inside.select("doc_id", "digest", "pos", F.explode("templates").alias("template"))
-    lines = lines.unionByName(_with_fields(inside, similarity))
-    dropped = _after_first(lines, least, "templates")
-    if min_documents is None:
-        passages = found.where(F.col("passage").isNotNull()).select(
-            "doc_id", "digest", "pos", F.col("passage").alias("template")
+    with Workspace(docs.sparkSession, "lines") as work:
+        found = work.stage(_lines(docs, depth))
+        # A template lies in one leaf, so only leaves of enough texts can hold a recurring one.
+        # Both lists of keys are written out: a join with them as they come would be bound to
+        # their partitioning, and Spark could not split a hot line.
+        crowded = work.stage(_recurring(found, "leaf", least).select("leaf"))
+        inside = work.stage(
+            found.drop("passage").join(crowded, "leaf").withColumn("templates", _templates(similarity))
         )
-        dropped = dropped.unionByName(_after_first(passages, LONG_DOCUMENTS, "passages"))
-    return dropped.groupBy("doc_id", "digest").agg(F.collect_set("pos").alias("places"))
+        lines = inside.select("doc_id", "digest", "pos", F.explode("templates").alias("template"))
+        lines = lines.unionByName(_with_fields(work, inside, similarity))
+        dropped = _after_first(work, lines, least)
+        if min_documents is None:
+            passages = found.where(F.col("passage").isNotNull()).select(
+                "doc_id", "digest", "pos", F.col("passage").alias("template")
+            )
+            dropped = dropped.unionByName(_after_first(work, passages, LONG_DOCUMENTS))
+        places = dropped.groupBy("doc_id", "digest").agg(F.collect_set("pos").alias("places"))
+        return stage(places, "line-places")
 
 
 def drop_recurring_lines(

@@ -1,7 +1,10 @@
 """Near copies by exact similarity against brute force."""
 
 import random
+import re
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from strataflow.llm import jaccard
@@ -136,3 +139,79 @@ def test_only_what_the_result_reads_stays(spark, docs):
     left = {n.rsplit("-", 1)[0] for n in set(child_names(spark, place)) - before}
     assert left == {"similar-docs", "similar-gone"}
     assert kept(result) == slow_kept(ODD_TEXTS)
+
+
+def unit_of(texts):
+    """One unit of the lists, as their rows come with maps."""
+    sets = [jaccard._shingles(t, 5) for t in texts]
+    rows = {"key": 0, "one": 0, "two": 0, "side": 0, "node": range(len(sets)), "root": range(len(sets))}
+    maps = [jaccard._parity(x, jaccard._map_bits(len(x), 0.8)) for x in sets]
+    return pd.DataFrame(rows | {"size": [len(x) for x in sets], "bits": maps})
+
+
+def test_large_unrelated_texts_of_a_list_are_ruled_out():
+    """Maps of 1,024 bits are full from some 2,300 shingles on and rule nothing out."""
+    dice = random.Random(6)
+    passage = pages(dice, 50)
+    unit = unit_of([" ".join(passage + pages(dice, many)) for many in (300, 2_500, 2_900, 6_000, 6_100, 15_000)])
+    assert list(jaccard._linked(0.8)(iter([unit]))) == []
+
+
+def test_maps_of_different_widths_keep_what_is_similar():
+    dice = random.Random(7)
+    for many in (1_900, 3_800, 7_500):
+        base = pages(dice, many)
+        texts = [" ".join(base), " ".join(pages(dice, many)), " ".join(with_tail(dice, base, 0.8))]
+        unit = unit_of(texts)
+        assert unit["bits"].map(len).nunique() == 2
+        (found,) = jaccard._linked(0.8)(iter([unit]))
+        assert found[["a", "b"]].to_numpy().tolist() == [[2, 0]]
+    # A map of more bits, folded, is the one of fewer.
+    hashes = jaccard._shingles(" ".join(pages(dice, 500)), 5)
+    maps = [jaccard._parity(hashes, bits) for bits in (1_024, 2_048, 16_384)]
+    table = jaccard._folded(maps, np.array([1_024, 2_048, 16_384]), 1_024)
+    assert [row.tobytes() for row in table] == [maps[0]] * 3
+
+
+def test_lists_of_the_same_nodes_are_one(spark):
+    """Texts with a passage share a head for each of its shingles and meet once for all of them."""
+    rows = [(1, 1, [10, 11, 12, 20]), (2, 2, [10, 11, 12, 21]), (3, 3, [20, 21, 30]), (4, 1, [20, 31]),
+            (5, 5, [40, 41]), (6, 5, [40, 41])]
+    found = jaccard._lists(spark.createDataFrame(rows, "node long, root long, heads array<long>"))
+    lists = {}
+    for r in found.collect():
+        lists.setdefault((r.key, r.many), []).append(r.node)
+    assert sorted(sorted(x) for x in lists.values()) == [[1, 2], [1, 3, 4], [2, 3]]
+    assert all(many == len(nodes) for (_, many), nodes in lists.items())
+
+
+def test_heads_are_shuffled_once_and_without_maps(spark, docs, monkeypatch):
+    """The most rows of the near-copy search: 20 million on 0.5 GB of documents."""
+    plans = []
+    stage = jaccard.Workspace.stage
+
+    def spy(work, frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return stage(work, frame)
+
+    monkeypatch.setattr(jaccard.Workspace, "stage", spy)
+    jaccard.drop_similar(docs(ODD_TEXTS))
+    exploded = [p for p in plans if "Generate explode(heads" in p]
+    assert len(exploded) == 1
+    dealt = re.findall(r"Exchange hashpartitioning\(head#", exploded[0])
+    assert len(dealt) == 1 and "bits#" not in exploded[0].split("Generate explode(heads")[0]
+
+
+@pytest.mark.parametrize("list_rows", [3, 8_000])
+def test_shared_passages_match_brute_force(docs, monkeypatch, list_rows):
+    """Lists with many dissimilar texts, few near copies among them, dealt out in chunks."""
+    monkeypatch.setattr(jaccard, "LIST_ROWS", list_rows)
+    dice, rows = random.Random(8), []
+    passages = [pages(dice, 40) for _ in range(3)]
+    for k in range(60):
+        text = passages[k % 3] + pages(dice, 150 + k) + passages[k // 30]
+        rows.append((2 * k, " ".join(text)))
+        if k % 7 == 0:
+            rows.append((2 * k + 1, " ".join(with_tail(dice, text, 0.82))))
+    found = kept(jaccard.drop_similar(docs(rows)))
+    assert found == slow_kept(rows) and len(found) == 60

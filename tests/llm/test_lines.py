@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow.llm import lines
+from strataflow.sinks.snapshots import child_names
 from tests.llm.conftest import ODD_TEXTS
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -141,3 +142,13 @@ def test_a_line_of_very_many_words(docs):
     line = " ".join("abcdefghij"[k % 10] * (k % 13 + 1) for k in range(100_000))
     got = {r.doc_id: r.n_dropped for r in lines.drop_recurring_lines(docs([(1, f"one\n{line}"), (2, f"two\n{line}")])).collect()}
     assert got == {1: 0, 2: 1}
+
+
+def test_only_the_places_of_dropped_lines_stay(spark, docs):
+    """The staged lines of all texts are as large as the texts."""
+    place = spark.conf.get("spark.checkpoint.dir") + "/strataflow"
+    before = set(child_names(spark, place))
+    result = lines.drop_recurring_lines(docs([*ODD_TEXTS, *((100 + k, f"own {'abcdefg'[k]}\nthe same line") for k in range(7))]))
+    left = {n.rsplit("-", 1)[0] for n in set(child_names(spark, place)) - before}
+    assert left == {"line-places"}
+    assert result.agg(F.sum("n_dropped")).first()[0] == 6
