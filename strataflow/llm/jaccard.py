@@ -30,7 +30,7 @@ UNIT_ROWS = 2_000
 #: The same of one list, whose rows have maps instead of texts.
 LIST_ROWS = 8_000
 _UNIT = ("key", "one", "two")
-_PAIRS = 200_000
+_PAIRS = 50_000
 # Against rounding of products with the similarity.
 _SLACK = 1e-9
 
