@@ -13,6 +13,8 @@ from strataflow.sinks.snapshots import remove_path
 # White space between words is a space or U+0009 to U+000D.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _OTHER_SPACE = "\t\n\x0b\x0c\r"
+#: Bits of a key filter: 1 MB, an eighth of them set by a million keys.
+FILTER_BITS = 1 << 23
 
 
 def whole(text: str | Column) -> Column:
@@ -78,6 +80,41 @@ class Workspace:
         remove_path(self._spark, next(path for t, path in self._tables if t is table))
 
 
+def _slot(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def key_filter(keys: DataFrame, key: str) -> DataFrame:
+    """One row with ``words``: FILTER_BITS bits, of which those of the keys' hashes are set.
+
+    Its size is the same for any number of keys, so it can be broadcast. ``may_have``
+    looks a key up: a row whose bit is not set has none of the keys, one whose bit is set
+    may have. What is left for an exact join is small as long as the keys are few.
+    """
+    slot = _slot(key)
+    bits = keys.select(
+        F.shiftright(slot, 6).alias("word"), F.expr("1L").alias("one"), (slot % 64).cast("int").alias("at")
+    ).select("word", F.expr("shiftleft(one, at)").alias("bits"))
+    every = keys.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("word"), F.lit(0).cast("long").alias("bits"))
+    words = bits.unionByName(every).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    # One row for the whole filter, in order of the words.
+    return words.agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("words")).select(
+        F.transform("words", lambda w: w["bits"]).alias("words")
+    )
+
+
+def may_have(rows: DataFrame, key: str, found: DataFrame, have: bool = True) -> DataFrame:
+    """Rows that may have one of the keys of a ``key_filter``; else those that have none.
+
+    Nothing is shuffled.
+    """
+    slot = _slot(key)
+    word = F.get("words", F.shiftright(slot, 6).cast("int"))
+    # Of the bits from the key's on, the first one.
+    is_set = F.pmod(F.call_function("shiftrightunsigned", word, (slot % 64).cast("int")), F.lit(2)) == 1
+    return rows.join(F.broadcast(found), is_set, "left_semi" if have else "left_anti")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of a loop with a reliable checkpoint in the shared folder."""
     context = df.sparkSession.sparkContext

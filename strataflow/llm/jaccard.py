@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataflow.llm.common import Workspace, stage, whole
+from strataflow.llm.common import Workspace, key_filter, may_have, stage, whole
 from strataflow.llm.components import connected_components
 from strataflow.llm.simhash import SEED, _unite, _units, majority_bits, near_links
 
@@ -217,6 +217,14 @@ def _starred(similarity: float, size: int):
     return run
 
 
+def _texts_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The texts joined to the rows of ``nodes``, a small part of all.
+
+    Other texts do not meet them in a shuffle, however many the nodes are.
+    """
+    return may_have(texts, "node", key_filter(nodes, "node")).join(nodes, "node")
+
+
 def _star_links(work: Workspace, texts: DataFrame, prints: DataFrame, size: int, similarity: float) -> DataFrame:
     """Verified links ``(a, b)`` between nodes that the trie join brings together.
 
@@ -241,7 +249,7 @@ def _star_links(work: Workspace, texts: DataFrame, prints: DataFrame, size: int,
     )
     # A star has its centre first, which has its least node.
     return (
-        texts.join(placed, "node")
+        _texts_of(texts, placed)
         .repartition("key", "chunk")
         .sortWithinPartitions("key", "chunk", "node")
         .mapInPandas(_starred(similarity, size), "a long, b long")
@@ -329,9 +337,8 @@ def similar_groups(
         connected_components(maybe, "a", "b", keep=work.stage).withColumnRenamed("root", "key")
     )
     members = work.stage(groups.groupBy("key").agg(F.count(F.lit(1)).alias("many")))
-    # Small tables first, so that the texts need not be shuffled to meet them.
     found = work.stage(groups.join(members, "key").join(maps.drop("bits"), "node"))
-    links = _dealt(texts.join(found, "node"), UNIT_ROWS).mapInPandas(
+    links = _dealt(_texts_of(texts, found), UNIT_ROWS).mapInPandas(
         _linked(similarity, size), "a long, b long"
     )
     ends = connected_components(stars.unionByName(links), "a", "b", keep=work.stage)
@@ -364,6 +371,11 @@ def drop_similar(docs: DataFrame, size: int = SIZE, similarity: float = SIMILARI
         )
         kept = best.select(F.col("best.row").alias("row"))
         gone = stage(named.select("row").join(kept, "row", "left_anti"), "similar-gone")
-    return rows.join(gone, "row", "left_anti").select(
+    # Rows that surely stay are not shuffled.
+    marks = key_filter(gone, "row")
+    stay = may_have(rows, "row", marks, have=False).unionByName(
+        may_have(rows, "row", marks).join(gone, "row", "left_anti")
+    )
+    return stay.select(
         *[F.col("doc").getField(c).alias(c) for c in docs.columns]
     )

@@ -215,3 +215,23 @@ def test_shared_passages_match_brute_force(docs, monkeypatch, list_rows):
             rows.append((2 * k + 1, " ".join(with_tail(dice, text, 0.82))))
     found = kept(jaccard.drop_similar(docs(rows)))
     assert found == slow_kept(rows) and len(found) == 60
+
+
+def test_texts_that_nothing_is_asked_of_are_not_shuffled(spark, docs, monkeypatch):
+    """Also where the lists of nodes and of dropped rows are too long to be broadcast."""
+    dice, rows = random.Random(9), []
+    for k in range(80):
+        text = pages(dice, 60)
+        rows.append((2 * k, " ".join(text)))
+        if k % 8 == 0:
+            rows.append((2 * k + 1, " ".join(with_tail(dice, text, 0.85))))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = jaccard.drop_similar(docs(rows))
+        assert kept(result) == slow_kept(rows)
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    anti = re.findall(r"(BroadcastNestedLoopJoin|SortMergeJoin)[^\n]* (LeftAnti|LeftSemi)", plan)
+    assert ("BroadcastNestedLoopJoin", "LeftAnti") in anti and ("BroadcastNestedLoopJoin", "LeftSemi") in anti
